@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loomlake.llm import bpe, url_filter
+from loomlake.llm import bpe, simhash, url_filter
 
 QUERIES = {
+    "op4_simhash": simhash.op4_simhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
 }
