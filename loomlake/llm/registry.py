@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from loomlake.llm import bpe, simhash, url_filter
+from loomlake.llm import bpe, minhash, simhash, url_filter
 
 QUERIES = {
     "op4_simhash": simhash.op4_simhash,
+    "op6_minhash": minhash.op6_minhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
 }
