@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loomlake.llm import bpe, minhash, simhash, url_filter
+from loomlake.llm import bpe, hilbert, minhash, simhash, url_filter
 
 QUERIES = {
+    "op3_hilbert": hilbert.op3_hilbert,
     "op4_simhash": simhash.op4_simhash,
     "op6_minhash": minhash.op6_minhash,
     "op9_byte_bpe": bpe.op9_byte_bpe,
