@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loomlake.llm import bpe, hilbert, minhash, simhash, url_filter
+from loomlake.llm import bpe, hilbert, langid, minhash, simhash, url_filter
 
 QUERIES = {
+    "op2_langid": langid.op2_langid,
     "op3_hilbert": hilbert.op3_hilbert,
     "op4_simhash": simhash.op4_simhash,
     "op6_minhash": minhash.op6_minhash,
