@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from loomlake.llm import bpe, hilbert, langid, minhash, simhash, url_filter
+from loomlake.llm import ann, bpe, hilbert, langid, minhash, simhash, url_filter
 
 QUERIES = {
     "op2_langid": langid.op2_langid,
     "op3_hilbert": hilbert.op3_hilbert,
     "op4_simhash": simhash.op4_simhash,
     "op6_minhash": minhash.op6_minhash,
+    "op8_ann": ann.op8_ann,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLE_SQL = {
+    "op8_ann": ann.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }
