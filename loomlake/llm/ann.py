@@ -170,7 +170,7 @@ WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 d AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_distance(q.e, v.e) AS score
+  SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(range(1, len(v.e) + 1), lambda i: (v.e[i] - q.e[i]) * (v.e[i] - q.e[i])), lambda a, b: a + b)) AS score
   FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10
