@@ -167,8 +167,8 @@ def near_links(bits: DataFrame, budget: int = MAX_BITS) -> DataFrame:
         links = _linked(a, b, low == high, depth, (low ^ high).bit_count(), budget)
         if low != high:
             links = ((i, j + len(a)) for i, j in links)
-            a = np.concatenate((a, b))  # low's values come first: they are smaller
-        member, root = _stars(a, links)
+        # low's values come first: they are smaller
+        member, root = _stars(a if low == high else np.concatenate((a, b)), links)
         return pd.DataFrame({"a": member.view(np.int64), "b": root.view(np.int64)})
 
     return sides.groupBy("low", "high").applyInPandas(walk, "a bigint, b bigint")

@@ -67,6 +67,23 @@ def test_components_match_brute_force(spark, monkeypatch):
     assert got == sorted(((i, f"{plain(t):016x}", least[root[plain(t)]]) for i, t in rows), key=str)
 
 
+def test_links_across_subtrees(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SUBTREE", 16)
+    rng = np.random.default_rng(5)
+    values = {int(x) for x in rng.integers(0, 1 << 63, 150, dtype=np.uint64)}
+    values |= {x ^ (1 << int(b)) for x in list(values)[:100] for b in (63, 62, 61, 60, 3)}
+    bits = spark.createDataFrame([(int(np.uint64(x).view(np.int64)),) for x in values], "bits bigint")
+    links = simhash.near_links(bits)
+    root = {r.node: r.root for r in simhash.components(links).collect()}
+    want = groups(values, 2)
+    signed = lambda x: int(np.uint64(x).view(np.int64))
+    got, expected = {}, {}
+    for x in values:
+        got.setdefault(root.get(signed(x), signed(x)), set()).add(x)
+        expected.setdefault(want[x], set()).add(x)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a bigint, b bigint")
     assert {(r.node, r.root) for r in simhash.components(links).collect()} == {(i, 0) for i in range(41)} | {(99, 99), (100, 99)}
