@@ -164,6 +164,7 @@ class Codec:
         self.find = regex.compile(pattern).findall
         size = max(self.machine.bytes_of) + 1
         self.vocabulary = [self.machine.bytes_of.get(i, b"") for i in range(size)]
+        self.lengths = np.array([len(x) for x in self.vocabulary], np.int64)
         self.names = [str(i) for i in range(size)]
         self.pieces: dict[str, tuple[bytes, str]] = {}
 

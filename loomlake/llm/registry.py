@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from loomlake.llm import ann, bpe, hilbert, langid, minhash, simhash, url_filter
+from loomlake.llm import ann, bpe, hilbert, langid, minhash, mixing, simhash, token_counts, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_langid": langid.op2_langid,
     "op3_hilbert": hilbert.op3_hilbert,
     "op4_simhash": simhash.op4_simhash,
+    "op5_mixing": mixing.op5_mixing,
     "op6_minhash": minhash.op6_minhash,
     "op8_ann": ann.op8_ann,
     "op9_byte_bpe": bpe.op9_byte_bpe,
