@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomlake.llm import ann, bpe, hilbert, langid, minhash, mixing, simhash, token_counts, url_filter
+from loomlake.llm import ann, bpe, hilbert, langid, language_model, minhash, mixing, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -11,11 +11,13 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_mixing": mixing.op5_mixing,
     "op6_minhash": minhash.op6_minhash,
+    "op7_language_model": language_model.op7_language_model,
     "op8_ann": ann.op8_ann,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLE_SQL = {
+    "op7_language_model": language_model.op7_language_model,
     "op8_ann": ann.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }
