@@ -206,16 +206,16 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return _CODECS[ranks_path, pattern]
 
 
-def _mapped(docs: DataFrame, id_column: str, column: str, make, schema: str) -> DataFrame:
-    """``make(values) -> columns`` over Arrow batches of (id, column); no shuffle."""
+def _mapped(docs: DataFrame, kept: list[str], column: str, make, schema: str) -> DataFrame:
+    """``make(values) -> columns`` of ``column`` over Arrow batches, beside the ``kept`` columns; no shuffle."""
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *make(batch.column(1))], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *make(batch.columns[-1])], names)
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    names = [id_column, *(x.split()[0] for x in schema.split(", "))]
-    return docs.select(id_column, column).mapInArrow(run, f"`{id_column}` {kind}, {schema}")
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    names = [*kept, *(x.split()[0] for x in schema.split(", "))]
+    return docs.select(*kept, F.col(column).alias("_value")).mapInArrow(run, ", ".join([*kinds, schema]))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -228,7 +228,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_column:
         own = codec(ranks_path, pattern)
         return [pa.array([own.encode(x.as_py())[0].astype(np.int32) for x in texts], pa.list_(pa.int32()))]
 
-    return _mapped(docs, id_column, text_column, make, "ids array<int>")
+    return _mapped(docs, [id_column], text_column, make, "ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -238,7 +238,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, id_colum
         own = codec(ranks_path, pattern)
         return [pa.array(["".join(text for _, text in own.decode(np.array(x.as_py() or [], np.uint32))) for x in rows], pa.string())]
 
-    return _mapped(encoded, id_column, ids_column, make, "text string")
+    return _mapped(encoded, [id_column], ids_column, make, "text string")
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -259,7 +259,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_column: str =
         n, a, b, c = zip(*rows, strict=True) if rows else ((), (), (), ())
         return [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.int64())]
 
-    return _mapped(docs, id_column, text_column, make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string, decoded_chars bigint")
+    return _mapped(docs, [id_column], text_column, make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string, decoded_chars bigint")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,12 +268,16 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``docs`` itself with n_tokens beside its columns: the pipeline's last stage. A column of that name is replaced."""
+def checked_ids(docs: DataFrame, ranks_path: str, pattern: str, kept: list[str], text_column: str = "text") -> DataFrame:
+    """(kept columns, n_tokens, ids array<int>, same boolean): every whole text's ids, and whether decoding them gives the text again."""
 
-    @F.pandas_udf("bigint")
-    def count(texts):
-        own = codec(ranks_path, pattern)
-        return texts.map(lambda x: len(own.encode(x)[0]))
+    def make(texts):
+        own, rows = codec(ranks_path, pattern), []
+        for x in texts:
+            text = x.as_py() or ""
+            ids, _ = own.encode(text)
+            rows.append((len(ids), ids.astype(np.int32), "".join(part for _, part in own.decode(ids)) == text))
+        n, ids, same = zip(*rows, strict=True) if rows else ((), (), ())
+        return [pa.array(n, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())]
 
-    return docs.withColumn("n_tokens", count(F.coalesce("text", F.lit(""))))
+    return _mapped(docs, kept, text_column, make, "n_tokens bigint, ids array<int>, same boolean")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,6 +177,17 @@ def identify(docs: DataFrame, model: Model, id_columns: tuple[str, ...] = ("doc_
     return docs.select(*id_columns, F.col(text_column).alias("_text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text isn't rejected: it has a letter and is near a centroid for its length."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def near(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: not shared.value.predict(x)[2]).astype(bool)
+
+    return docs.where(near(F.col(text_column)))
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").withColumn("held_out", F.pmod(doc_crc(F.col("doc_id")), F.lit(3)) == 1)
     model = fit(docs.where(~F.col("held_out")), key=F.xxhash64("doc_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from loomlake.llm import ann, bpe, hilbert, langid, language_model, minhash, mixing, simhash, token_counts, url_filter
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_ann": ann.op8_ann,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op7_language_model": language_model.op7_language_model,

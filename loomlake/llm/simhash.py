@@ -29,25 +29,38 @@ SHINGLE_WORDS, MAX_BITS = 3, 2
 SUBTREE, SUBTREE_MOST = 1 << 14, 1 << 17
 #: Pairs of nodes held at once, and pairs of leaves that are compared without further descent.
 FRONTIER, LEAF_PAIRS = 1 << 19, 16
+#: Near copies: bits of a fingerprint, chance that a pair at the threshold is met, leaves of a node that are compared with each other at most.
+WIDE, RECALL, DENSE = 256, 0.97, 512
 #: Shingles hashed at once.
 BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int:
-    """Unsigned 64-bit SimHash: A-Z lower-cased, words parted by ASCII white space, bit set if in over half the shingle hashes."""
+def _sign_bits(text: str | None, words_per_shingle: int, parts: int) -> bytes:
+    """``parts`` 64-bit SimHashes, big-endian: of the shingles' XXH64, then of multiples of it that are mixed once more."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return bytes(8 * parts)
     data, k = b" ".join(words), words_per_shingle
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - k + 1)
     first, last = starts[:n].tolist(), (ends[k - 1 :] if len(words) >= k else ends[-1:]).tolist()
-    counts, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    counts, digest = np.zeros(64 * parts, np.int64), xxhash.xxh64_intdigest
     for at in range(0, n, BLOCK):
-        hashes = np.array([digest(data[s:e], SEED) for s, e in zip(first[at : at + BLOCK], last[at : at + BLOCK], strict=True)], dtype=">u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+        own = np.array([digest(data[s:e], SEED) for s, e in zip(first[at : at + BLOCK], last[at : at + BLOCK], strict=True)], np.uint64)
+        for part in range(parts):
+            x = own
+            if part:
+                x = own * np.uint64(0x9E3779B97F4A7C15 + 2 * part)
+                x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            hashes = x.astype(">u8").view(np.uint8).reshape(-1, 8)
+            counts[64 * part : 64 * part + 64] += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > n).tobytes()
+
+
+def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int:
+    """Unsigned 64-bit SimHash: A-Z lower-cased, words parted by ASCII white space, bit set if in over half the shingle hashes."""
+    return int.from_bytes(_sign_bits(text, words_per_shingle, 1), "big")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -66,9 +79,12 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int):
-    """Yield (i, j) index arrays of a's and b's leaves within the budget; both sorted, each with one prefix of ``depth`` bits."""
-    todo = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64))]
+def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int, nodes: np.ndarray | None = None):
+    """Yield (i, j) index arrays of a's and b's leaves within the budget; both sorted, each with one prefix of ``depth`` bits.
+
+    ``nodes``: instead of the whole trees, pairs of nodes of that depth to begin with, as rows (start, stop, start, stop, spent).
+    """
+    todo = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64) if nodes is None else nodes)]
     zeros: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def split(level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,6 +213,106 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 
+def _alike_nodes(keys: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """Nodes of ``depth`` bits with two leaves or more; those with over DENSE leaves are replaced by their children, again and again."""
+    out, start, stop = [], np.array([0]), np.array([len(keys)])
+    if depth:
+        start = np.concatenate(([0], np.flatnonzero(np.diff(keys >> np.uint64(64 - depth))) + 1))
+        stop = np.append(start[1:], len(keys))
+    while len(start):
+        many = (stop - start > DENSE) & (depth < 64)
+        own = (stop - start > 1) & ~many
+        if own.any():
+            out.append((depth, np.stack([start[own], stop[own], start[own], stop[own], np.zeros(own.sum(), np.int64)])))
+        start, stop = start[many], stop[many]
+        if len(start):
+            zero = np.concatenate(([0], np.cumsum((keys >> np.uint64(63 - depth)) & np.uint64(1) == 0)))
+            middle = start + zero[stop] - zero[start]
+            start, stop = np.concatenate((start, middle)), np.concatenate((middle, stop))
+            depth += 1
+    return out
+
+
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) for every row: groups of texts whose shingles are alike from about ``similarity`` (Jaccard) on.
+
+    At such a similarity a 64-bit SimHash differs in about ten bits, far more than a trie can be searched for at
+    once. So each text gets 256 bits, and a number of tries is made, each over another random choice of 64 of them. In a trie, nodes of
+    a prefix about as long as the logarithm of the number of fingerprints are walked against themselves with
+    the whole budget of bits. The number of tries is set so that a pair at the threshold shares the prefix in one of them with
+    probability RECALL; a pair of leaves is linked if its 256 bits differ in no more than such a pair's expected bits and a
+    deviation. A node with over DENSE leaves is cut further; its leaves, all alike, meet in its parts and in other tries.
+    Null and empty texts are one group. Equal fingerprints are one node; a row with a null id counts as the largest.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def print_all(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_sign_bits(x.as_py(), words_per_shingle, WIDE // 64) for x in batch.column(1)], pa.binary())], ["doc_id", "bits"])
+
+    printed = staged(docs.select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, bits binary"), "simhash-wide")
+    nodes = staged(printed.groupBy("bits").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("bits")), "simhash-wide-nodes")
+    # Jaccard s of repeated shingles is a cosine of 2s / (1 + s)
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    budget, most = round(64 * differ + 2 * math.sqrt(64 * differ * (1 - differ))), round(WIDE * differ + math.sqrt(WIDE * differ * (1 - differ)))
+    n = max(1, nodes.count())
+    depth = max(4, math.ceil(math.log2(n)) - 2)
+    tries = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - differ) ** depth))
+    coarse = max(0, math.ceil(math.log2(n / SUBTREE)))
+    rng = np.random.default_rng(SEED)
+    choices = [rng.permutation(WIDE)[:64] for _ in range(tries)]
+
+    def deal(batches):
+        for batch in batches:
+            bits = batch.column(0).to_pylist()
+            if not bits:
+                continue
+            each = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)
+            for t, choice in enumerate(choices):
+                key = np.packbits(np.ascontiguousarray(each[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
+                top = (key >> np.uint64(64 - coarse)).astype(np.int64) if coarse else np.zeros(len(key), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(top), batch.column(0), batch.column(1)], ["trie", "top", "bits", "node"])
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        choice = choices[int(pdf["trie"].iloc[0])]
+        raw = np.frombuffer(b"".join(pdf["bits"]), np.uint8).reshape(len(pdf), -1)
+        key = np.packbits(np.ascontiguousarray(np.unpackbits(raw, axis=1)[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
+        order = np.argsort(key, kind="stable")
+        key, wide, node = key[order], np.ascontiguousarray(raw[order]).view(np.uint64), pdf["node"].to_numpy()[order]
+
+        def links():
+            for level, nodes in _alike_nodes(key, depth):
+                for i, j in _linked(key, key, True, level, 0, budget, nodes):
+                    near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64) <= most
+                    yield i[near], j[near]
+
+        member, root = _stars(np.arange(len(key)), links())
+        return pd.DataFrame({"a": node[member], "b": node[root]})
+
+    found = nodes.select("bits", "node").mapInArrow(deal, "trie int, top bigint, bits binary, node bigint").groupBy("trie", "top").applyInPandas(walk, "a bigint, b bigint")
+    roots = components(found, "simhash-wide-links")
+    rooted = nodes.join(roots, "node", "left").select("bits", "least", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = staged(rooted.join(least, "root").select("bits", "component_id"), "simhash-wide-components")
+    return printed.join(classes, "bits").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, all columns, less near copies: of each group the row of the least id stays (null ids count as the largest).
+
+    Rows are told apart by id and text, so one id may stand for several texts; rows equal in both are one document.
+    Only narrow columns are grouped; texts move only if the rows to drop are too many for Spark to broadcast.
+    """
+    keyed = docs.withColumn("_key", F.struct(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text_column).alias("text")))
+    classes = staged(near_copies(keyed, "_key", text_column, words_per_shingle, similarity), "simhash-classes")
+    dropped = classes.where("doc_id != component_id").select(F.col("doc_id").alias("_key")).distinct()
+    kept = keyed.join(dropped, "_key", "left_anti")
+    again = classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key")).count().where("count > 1").select("_key")
+    if not again.isEmpty():
+        kept = kept.join(again, "_key", "left_anti").unionByName(kept.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return kept.drop("_key")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SHINGLE_WORDS, budget: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
