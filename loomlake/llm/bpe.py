@@ -23,10 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import read
+from loomlake.llm.common import batched, read
 
 #: Bounds of the memory a Python worker takes; past them tables are emptied and filled anew. No result depends on them.
-MAX_STATES, MAX_PIECES = 300_000, 300_000
+MAX_STATES, MAX_PIECES, MAX_PAIRS = 300_000, 300_000, 1_000_000
 #: Ids decoded at a time.
 DECODE_IDS = 65_536
 
@@ -80,7 +80,7 @@ class MergeTransducer:
         key = left << 32 | right
         found = self.fits.get(key)
         if found is None:
-            if len(self.fits) > 8 * MAX_STATES:
+            if len(self.fits) > MAX_PAIRS:
                 self.fits.clear()
             found = self.fits[key] = self._merges_to(self.bytes_of.get(left, b""), self.bytes_of[right])
         return found
@@ -215,7 +215,7 @@ def _mapped(docs: DataFrame, kept: list[str], column: str, make, schema: str) ->
 
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     names = [*kept, *(x.split()[0] for x in schema.split(", "))]
-    return docs.select(*kept, F.col(column).alias("_value")).mapInArrow(run, ", ".join([*kinds, schema]))
+    return batched(docs).select(*kept, F.col(column).alias("_value")).mapInArrow(run, ", ".join([*kinds, schema]))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -41,3 +41,9 @@ def ascii_lower(c: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """CRC-32 of the id written as decimal text (null: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def batched(docs: DataFrame) -> DataFrame:
+    """``docs``, to be handed to Python: Arrow batches are kept to few rows, because texts are long and a batch is held in both processes."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return docs

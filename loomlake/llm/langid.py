@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import doc_crc, read
+from loomlake.llm.common import batched, doc_crc, read
 
 #: Buckets of hashed trigrams, centroids a language, labelled rows sampled for k-means (all languages together), languages at most.
 BUCKETS, CENTROIDS, SAMPLE_ROWS, MAX_LANGUAGES = 8192, 4, 2_000, 500
@@ -95,7 +95,7 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
     Document frequencies are summed in a shuffle over all rows. Each language gives SAMPLE_ROWS / languages
     sampled rows as expected, all it has if fewer. No labelled rows: a model that answers ``und``.
     """
-    rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).alias("lang"), (key if key is not None else F.xxhash64(text_column)).alias("key")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = batched(labelled).select(F.col(text_column).alias("text"), F.col(label_column).alias("lang"), (key if key is not None else F.xxhash64(text_column)).alias("key")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
     def frequencies(batches):
         total = np.zeros(BUCKETS + 1, np.int64)
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, model: Model, id_columns: tuple[str, ...] = ("doc_
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], [*id_columns, "lang_pred", "score", "rejected"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_columns)
-    return docs.select(*id_columns, F.col(text_column).alias("_text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    return batched(docs).select(*id_columns, F.col(text_column).alias("_text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -185,7 +185,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     def near(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: not shared.value.predict(x)[2]).astype(bool)
 
-    return docs.where(near(F.col(text_column)))
+    return batched(docs).where(near(F.col(text_column)))
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import read, staged
+from loomlake.llm.common import batched, read, staged
 
 SEED = 42
 #: Contract of the query: words of a shingle, bits that linked fingerprints differ in at most.
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "bits"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
+    return batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -250,7 +250,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_sign_bits(x.as_py(), words_per_shingle, WIDE // 64) for x in batch.column(1)], pa.binary())], ["doc_id", "bits"])
 
-    printed = staged(docs.select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, bits binary"), "simhash-wide")
+    printed = staged(batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, bits binary"), "simhash-wide")
     nodes = staged(printed.groupBy("bits").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("bits")), "simhash-wide-nodes")
     # Jaccard s of repeated shingles is a cosine of 2s / (1 + s)
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.llm.bpe import Codec, codec
-from loomlake.llm.common import read
+from loomlake.llm.common import batched, read
 
 #: ``start``: the section of the token's first character; ``most``: the one with most of its characters, the first of equals.
 RULES = ("start", "most")
@@ -99,7 +99,7 @@ def section_tokens(docs: DataFrame, ranks_path: str, pattern: str, sections: str
                  pa.array(c[3].astype(np.int64)), pa.array(c[4].astype(float)), pa.array(c[5].astype(np.int64)), pa.array(c[6].astype(np.int64))],
                 ["doc_id", "section", "name", "start_char", "end_char", "n_tokens", "token_share", "n_crossing", "doc_tokens"])
 
-    return docs.select(*columns).mapInArrow(run, f"doc_id {kind}, section int, name string, start_char bigint, end_char bigint, n_tokens bigint, token_share double, n_crossing bigint, doc_tokens bigint")
+    return batched(docs).select(*columns).mapInArrow(run, f"doc_id {kind}, section int, name string, start_char bigint, end_char bigint, n_tokens bigint, token_share double, n_crossing bigint, doc_tokens bigint")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
