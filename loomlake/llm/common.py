@@ -33,6 +33,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame, names: list[str]) -> str:
+    """Underscores enough that no column of ``df`` is called prefix + name."""
+    prefix, taken = "_", {c.lower() for c in df.columns}
+    while any(f"{prefix}{n}".lower() in taken for n in names):
+        prefix += "_"
+    return prefix
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, LOWER)

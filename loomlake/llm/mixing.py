@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import read, staged
+from loomlake.llm.common import free_prefix, read, staged
 
 MARGINS = ("source", "lang", "topic")
 #: Exponent of a marginal's own shares that makes its targets where none are given: 1 keeps the shares, 0 evens them out.
@@ -34,11 +34,11 @@ def form_topic(text: Column) -> Column:
     return F.when(digits * 50 > chars, "numeric").when(chars < 300, "fragment").when(chars < lines * 120, "list").otherwise("prose")
 
 
-def marked(docs: DataFrame, text_column: str = "text", topic: Column | None = None) -> DataFrame:
+def marked(docs: DataFrame, text_column: str = "text", topic: Column | None = None, prefix: str = "_") -> DataFrame:
     """``docs`` with _source, _lang, _topic (null: ``<null>``) and _tokens beside its columns."""
     text = F.col(text_column)
-    own = {"_source": F.col("source"), "_lang": F.col("lang"), "_topic": topic if topic is not None else form_topic(text)}
-    return docs.withColumns({name: F.coalesce(c.cast("string"), F.lit("<null>")) for name, c in own.items()} | {"_tokens": token_count(text)})
+    own = {f"{prefix}source": F.col("source"), f"{prefix}lang": F.col("lang"), f"{prefix}topic": topic if topic is not None else form_topic(text)}
+    return docs.withColumns({name: F.coalesce(c.cast("string"), F.lit("<null>")) for name, c in own.items()} | {f"{prefix}tokens": token_count(text)})
 
 
 def _targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> DataFrame:
@@ -100,7 +100,7 @@ def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None] | None = None, budget: float = BUDGET, id_column: str = "doc_id", text_column: str = "text", topic: Column | None = None, seed: int = SEED) -> DataFrame:
-    """The sampled rows of ``docs``, all columns, with _source, _lang, _topic, _tokens and _probability.
+    """The sampled rows of ``docs``, all columns, with _source, _lang, _topic, _tokens and _probability (more underscores where ``docs`` has such a column).
 
     ``targets`` maps source, lang and topic to target weights by value, or to None for tempered shares. Nulls are
     a value of their own (``<null>``). A row is kept if a hash of its id and the seed, as a number in [0, 1), is below its
@@ -108,12 +108,13 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None] | None = No
     tokens (null or empty texts) in cells without any tokens are kept. Cells are joined by a broadcast
     only where Spark's measure of their size allows it.
     """
-    rows = marked(docs, text_column, topic)
-    cells = staged(rows.groupBy(*[F.col(f"_{m}").alias(m) for m in MARGINS]).agg(F.sum("_tokens").alias("tokens")), "mix-cells")
+    p = free_prefix(docs, [*MARGINS, "tokens", "probability"])
+    rows = marked(docs, text_column, topic, p)
+    cells = staged(rows.groupBy(*[F.col(f"{p}{m}").alias(m) for m in MARGINS]).agg(F.sum(f"{p}tokens").alias("tokens")), "mix-cells")
     chosen = {m: (targets or {}).get(m) for m in MARGINS}
-    found = staged(probabilities(rake(cells, chosen), budget).select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("probability").alias("_probability")), "mix-probability")
+    found = staged(probabilities(rake(cells, chosen), budget).select(*[F.col(m).alias(f"{p}{m}") for m in MARGINS], F.col("probability").alias(f"{p}probability")), "mix-probability")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return rows.join(found, [f"_{m}" for m in MARGINS]).where(draw < F.col("_probability")).select(*docs.columns, *[f"_{m}" for m in MARGINS], "_tokens", "_probability")
+    return rows.join(found, [f"{p}{m}" for m in MARGINS]).where(draw < F.col(f"{p}probability")).select(*docs.columns, *[f"{p}{m}" for m in MARGINS], f"{p}tokens", f"{p}probability")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

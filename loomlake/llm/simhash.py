@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import batched, read, staged
+from loomlake.llm.common import batched, free_prefix, read, staged
 
 SEED = 42
 #: Contract of the query: words of a shingle, bits that linked fingerprints differ in at most.
@@ -303,14 +303,15 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     Rows are told apart by id and text, so one id may stand for several texts; rows equal in both are one document.
     Only narrow columns are grouped; texts move only if the rows to drop are too many for Spark to broadcast.
     """
-    keyed = docs.withColumn("_key", F.struct(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text_column).alias("text")))
-    classes = staged(near_copies(keyed, "_key", text_column, words_per_shingle, similarity), "simhash-classes")
-    dropped = classes.where("doc_id != component_id").select(F.col("doc_id").alias("_key")).distinct()
-    kept = keyed.join(dropped, "_key", "left_anti")
-    again = classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key")).count().where("count > 1").select("_key")
+    key = free_prefix(docs, ["key"]) + "key"
+    keyed = docs.withColumn(key, F.struct(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text_column).alias("text")))
+    classes = staged(near_copies(keyed, key, text_column, words_per_shingle, similarity), "simhash-classes")
+    dropped = classes.where("doc_id != component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = keyed.join(dropped, key, "left_anti")
+    again = classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key)
     if not again.isEmpty():
-        kept = kept.join(again, "_key", "left_anti").unionByName(kept.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
-    return kept.drop("_key")
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+    return kept.drop(key)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SHINGLE_WORDS, budget: int = MAX_BITS) -> DataFrame:

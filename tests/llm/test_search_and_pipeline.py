@@ -99,7 +99,7 @@ def test_near_copies_are_found_and_others_left_alone(spark):
 def test_one_of_each_keeps_one_row_of_each_group(spark):
     rows, family = copies()
     rows += [(0, rows[0][1]), (500, rows[0][1]), (None, rows[7][1]), (None, None), (None, None), (600, ""), (7, "another text under an id that is taken " * 9)]
-    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, _tokens int")
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, _key int")
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]

@@ -215,16 +215,17 @@ def test_shards(spark):
 def test_raking_meets_the_targets(spark):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randint(1, 40), rng.choice(["en", "de", None]), rng.choice(["a"] * 6 + ["b", "c"])) for i in range(900)] + [(901, None, None, "a"), (902, "", "en", None)]
-    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, lang string, source string, probability int")
+    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, lang string, source string, _tokens int")
     targets = {"source": {"a": 1, "b": 1, "c": 2}, "lang": {"en": 1, "de": 1, "<null>": 0.5}, "topic": None}
-    marked = mixing.marked(docs)
+    marked = mixing.marked(docs.drop("_tokens"))
     cells = marked.groupBy("_source", "_lang", "_topic").agg({"_tokens": "sum"}).toDF("source", "lang", "topic", "tokens")
     raked = mixing.rake(cells.where("source <> '<null>'"), targets).toPandas()
     by = raked.groupby("source")["share"].sum()
     assert np.allclose(by / by.sum(), [0.25, 0.25, 0.5], atol=2e-3)
     by = raked.groupby("lang")["share"].sum()
     assert np.allclose(by[["de", "en"]] / by.sum(), [0.4, 0.4], atol=2e-3)
-    kept = mixing.mix(docs, budget=0.5).toPandas()
+    kept = mixing.mix(docs, budget=0.5).toPandas().rename(columns={"_tokens": "own", "__tokens": "_tokens"})
+    assert set(kept["own"]) == {5}
     total = sum(len((t or "").split()) for _, t, *_ in rows)
     assert abs(kept["_tokens"].sum() / total - 0.5) < 0.08 and 902 in set(kept["doc_id"])
     assert set(kept["doc_id"]) == set(mixing.mix(docs.repartition(7), budget=0.5).toPandas()["doc_id"])
