@@ -30,7 +30,7 @@ SUBTREE, SUBTREE_MOST = 1 << 14, 1 << 17
 #: Pairs of nodes held at once, and pairs of leaves that are compared without further descent.
 FRONTIER, LEAF_PAIRS = 1 << 19, 16
 #: Near copies: bits of a fingerprint, chance that a pair at the threshold is met, leaves of a node that are compared with each other at most.
-WIDE, RECALL, DENSE = 256, 0.97, 512
+WIDE, RECALL, DENSE = 256, 0.97, 64
 #: Shingles hashed at once.
 BLOCK = 1 << 16
 
@@ -292,7 +292,8 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = nodes.select("bits", "node").mapInArrow(deal, "trie int, top bigint, bits binary, node bigint").groupBy("trie", "top").applyInPandas(walk, "a bigint, b bigint")
     roots = components(found, "simhash-wide-links")
     rooted = nodes.join(roots, "node", "left").select("bits", "least", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written first: then the join below is of two plain exchanges, which Spark splits where one group has most rows
+    least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-wide-least")
     classes = staged(rooted.join(least, "root").select("bits", "component_id"), "simhash-wide-components")
     return printed.join(classes, "bits").select("doc_id", "component_id")
 
@@ -326,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     nodes = staged(printed.groupBy("bits").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = components(near_links(nodes.select("bits"), budget), "simhash-links")
     rooted = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     found = staged(rooted.join(least, "root").select("bits", "component_id"), "simhash-components")
     # the left side may hold a third of all rows under one fingerprint: both sides are plain exchanges, which Spark splits
     return printed.join(found, "bits").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
