@@ -31,23 +31,32 @@ SUBTREE, SUBTREE_MOST = 1 << 14, 1 << 17
 FRONTIER, LEAF_PAIRS = 1 << 19, 16
 #: Near copies: bits of a fingerprint, chance that a pair at the threshold is met, leaves of a node that are compared with each other at most.
 WIDE, RECALL, DENSE = 256, 0.97, 512
+#: Near copies: candidates that a leaf proposes in the first round.
+NEAREST = 8
 #: Shingles hashed at once.
 BLOCK = 1 << 16
 
 
-def _sign_bits(text: str | None, words_per_shingle: int, parts: int) -> bytes:
-    """``parts`` 64-bit SimHashes, big-endian: of the shingles' XXH64, then of multiples of it that are mixed once more."""
+def _shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
+    """XXH64 of each shingle in turn; of a text of fewer words: of all its words; without words: none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return bytes(8 * parts)
+        return np.zeros(0, np.uint64)
     data, k = b" ".join(words), words_per_shingle
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - k + 1)
     first, last = starts[:n].tolist(), (ends[k - 1 :] if len(words) >= k else ends[-1:]).tolist()
-    counts, digest = np.zeros(64 * parts, np.int64), xxhash.xxh64_intdigest
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(data[s:e], SEED) for s, e in zip(first, last, strict=True)], np.uint64)
+
+
+def _sign_bits(shingles: np.ndarray, parts: int) -> bytes:
+    """``parts`` 64-bit SimHashes, big-endian: of the shingles' XXH64, then of multiples of it that are mixed once more."""
+    n = len(shingles)
+    counts = np.zeros(64 * parts, np.int64)
     for at in range(0, n, BLOCK):
-        own = np.array([digest(data[s:e], SEED) for s, e in zip(first[at : at + BLOCK], last[at : at + BLOCK], strict=True)], np.uint64)
+        own = shingles[at : at + BLOCK]
         for part in range(parts):
             x = own
             if part:
@@ -60,7 +69,7 @@ def _sign_bits(text: str | None, words_per_shingle: int, parts: int) -> bytes:
 
 def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int:
     """Unsigned 64-bit SimHash: A-Z lower-cased, words parted by ASCII white space, bit set if in over half the shingle hashes."""
-    return int.from_bytes(_sign_bits(text, words_per_shingle, 1), "big")
+    return int.from_bytes(_sign_bits(_shingle_hashes(text, words_per_shingle), 1), "big")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -233,28 +242,81 @@ def _alike_nodes(keys: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+class _Nearest:
+    """For each leaf its ``most`` nearest partners of those added, and which leaves had more."""
+
+    def __init__(self, n: int, most: int):
+        self.most, self.more, self.held, self.size = most, np.zeros(n, bool), [], 0
+
+    def add(self, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
+        self.held += [np.stack([i, j, d]), np.stack([j, i, d])]
+        self.size += 2 * len(i)
+        if self.size > FRONTIER:
+            self.cut()
+
+    def cut(self) -> np.ndarray:
+        i, j, d = np.concatenate(self.held, axis=1) if self.held else np.zeros((3, 0), np.int64)
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        start = np.flatnonzero(np.diff(i, prepend=-1))
+        near = np.arange(len(i)) - np.repeat(start, np.diff(start, append=len(i))) < self.most
+        self.more[i[~near]] = True
+        self.held = [np.stack([i[near], j[near], d[near]])]
+        # what stays can be more than FRONTIER: then the next cut comes after as much again
+        self.size = min(int(near.sum()), FRONTIER // 2)
+        return self.held[0]
+
+
+def _tested(node: np.ndarray, tested) -> np.ndarray:
+    """Sorted numbers i * len(node) + j of the leaves' pairs that were tested before."""
+    own = [np.asarray(x, np.int64) if x is not None else np.zeros(0, np.int64) for x in tested]
+    i, other = np.repeat(np.arange(len(node)), [len(x) for x in own]), np.concatenate(own) if own else np.zeros(0, np.int64)
+    order = np.argsort(node)
+    at = np.minimum(np.searchsorted(node[order], other), len(node) - 1)
+    here = node[order[at]] == other
+    return np.sort(i[here] * len(node) + order[at[here]])
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` (a, b) of nodes with ``alike``: whether the Jaccard similarity of their shingles is ``similarity`` or more."""
+    needed = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "row")
+    own = staged(sets.select("row", "shingles").join(needed, "row").select("node", "shingles"), "simhash-wide-sets")
+    both = pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.select("a", "b", (shared / (F.size("x") + F.size("y") - shared) >= similarity).alias("alike"))
+
+
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) for every row: groups of texts whose shingles are alike from about ``similarity`` (Jaccard) on.
+    """(doc_id, component_id) for every row: groups of texts linked by shingles that are alike by ``similarity`` (Jaccard) or more.
 
     At such a similarity a 64-bit SimHash differs in about ten bits, far more than a trie can be searched for at
-    once. So each text gets 256 bits, and a number of tries is made, each over another random choice of 64 of them. In a trie, nodes of
-    a prefix about as long as the logarithm of the number of fingerprints are walked against themselves with
+    once. So each set of shingles gets 256 bits, and a number of tries is made, each over another random choice of 64 of them. In a trie,
+    nodes of a prefix about as long as the logarithm of the number of sets are walked against themselves with
     the whole budget of bits. The number of tries is set so that a pair at the threshold shares the prefix in one of them with
-    probability RECALL; a pair of leaves is linked if its 256 bits differ in no more than such a pair's expected bits and a
-    deviation. A node with over DENSE leaves is cut further; its leaves, all alike, meet in its parts and in other tries.
-    Null and empty texts are one group. Equal fingerprints are one node; a row with a null id counts as the largest.
+    probability RECALL; a pair of leaves is a candidate if its bits differ in no more than such a pair's expected bits and three
+    deviations. Bits only propose: every link is confirmed by the exact Jaccard similarity of the two sets.
+
+    Each leaf proposes its NEAREST candidates first. Leaves that had more are open, and take part in further rounds, in which a leaf
+    proposes eight times as many that aren't in its component yet and were not tested before; until no leaf is open. So
+    all candidates are confirmed, refused or inside a component, and a large group of copies costs no squares.
+    Texts without words are one group. Equal sets of shingles are one node; a row with a null id counts as the largest.
     """
     kind = docs.schema[id_column].dataType.simpleString()
 
     def print_all(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_sign_bits(x.as_py(), words_per_shingle, WIDE // 64) for x in batch.column(1)], pa.binary())], ["doc_id", "bits"])
-
-    printed = staged(batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, bits binary"), "simhash-wide")
-    nodes = staged(printed.groupBy("bits").agg(F.min("doc_id").alias("least")).withColumn("node", F.xxhash64("bits")), "simhash-wide-nodes")
-    # Jaccard s of repeated shingles is a cosine of 2s / (1 + s)
+            sets = [np.unique(_shingle_hashes(x.as_py(), words_per_shingle)) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64()), pa.array([_sign_bits(x, WIDE // 64) for x in sets], pa.binary()),
+                 pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                ["doc_id", "node", "bits", "size", "shingles"])
+
+    printed = batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, node bigint, bits binary, size bigint, shingles array<bigint>")
+    printed = staged(printed.withColumn("row", F.monotonically_increasing_id()), "simhash-wide")
+    nodes = staged(printed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("bits").alias("bits"), F.min("size").alias("size")), "simhash-wide-nodes")
+    # Jaccard s is a cosine of 2s / (1 + s) at least
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    budget, most = round(64 * differ + 2 * math.sqrt(64 * differ * (1 - differ))), round(WIDE * differ + math.sqrt(WIDE * differ * (1 - differ)))
+    budget, most = (round(bits * differ + 3 * math.sqrt(bits * differ * (1 - differ))) for bits in (64, WIDE))
     n = max(1, nodes.count())
     depth = max(4, math.ceil(math.log2(n)) - 2)
     tries = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - differ) ** depth))
@@ -262,40 +324,66 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     rng = np.random.default_rng(SEED)
     choices = [rng.permutation(WIDE)[:64] for _ in range(tries)]
 
+    def keys(bits: list[bytes], choice: np.ndarray) -> np.ndarray:
+        each = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)
+        return np.packbits(np.ascontiguousarray(each[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
+
     def deal(batches):
         for batch in batches:
-            bits = batch.column(0).to_pylist()
-            if not bits:
+            if not len(batch):
                 continue
-            each = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)
+            bits = batch.column(0).to_pylist()
             for t, choice in enumerate(choices):
-                key = np.packbits(np.ascontiguousarray(each[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
+                key = keys(bits, choice)
                 top = (key >> np.uint64(64 - coarse)).astype(np.int64) if coarse else np.zeros(len(key), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(top), batch.column(0), batch.column(1)], ["trie", "top", "bits", "node"])
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        choice = choices[int(pdf["trie"].iloc[0])]
-        raw = np.frombuffer(b"".join(pdf["bits"]), np.uint8).reshape(len(pdf), -1)
-        key = np.packbits(np.ascontiguousarray(np.unpackbits(raw, axis=1)[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
-        order = np.argsort(key, kind="stable")
-        key, wide, node = key[order], np.ascontiguousarray(raw[order]).view(np.uint64), pdf["node"].to_numpy()[order]
-
-        def links():
-            for level, nodes in _alike_nodes(key, depth):
-                for i, j in _linked(key, key, True, level, 0, budget, nodes):
-                    near = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64) <= most
-                    yield i[near], j[near]
-
-        member, root = _stars(np.arange(len(key)), links())
-        return pd.DataFrame({"a": node[member], "b": node[root]})
-
-    found = nodes.select("bits", "node").mapInArrow(deal, "trie int, top bigint, bits binary, node bigint").groupBy("trie", "top").applyInPandas(walk, "a bigint, b bigint")
-    roots = components(found, "simhash-wide-links")
-    rooted = nodes.join(roots, "node", "left").select("bits", "least", F.coalesce("root", "node").alias("root"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(top), *batch.columns], ["trie", "top", *batch.schema.names])
+
+    def walking(nearest: int, first: bool):
+        def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+            key = keys(list(pdf["bits"]), choices[int(pdf["trie"].iloc[0])])
+            order = np.argsort(key, kind="stable")
+            key, wide = key[order], np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)[order]
+            node, size, root = (pdf[x].to_numpy(np.int64)[order] for x in ("node", "size", "root"))
+            tested, found = None if first else _tested(node, pdf["tested"].to_numpy()[order]), _Nearest(len(key), nearest)
+            for level, pairs in _alike_nodes(key, depth):
+                for i, j in _linked(key, key, True, level, 0, budget, pairs):
+                    d = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
+                    near = (d <= most) & (root[i] != root[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6)
+                    if tested is not None and len(tested):
+                        both = i * len(key) + j
+                        near &= tested[np.minimum(np.searchsorted(tested, both), len(tested) - 1)] != both
+                    if near.any():
+                        found.add(i[near], j[near], d[near])
+            i, j, _ = found.cut()
+            more = node[found.more]
+            # a row of an open leaf has no partner
+            other = pd.Series(np.concatenate((np.minimum(node[i], node[j]), more)), dtype="Int64")
+            other[len(i) :] = pd.NA
+            return pd.DataFrame({"a": np.concatenate((np.maximum(node[i], node[j]), more)), "b": other})
+
+        return walk
+
+    links, refused, nearest = None, None, NEAREST
+    leaves = nodes.select("bits", "node", "size", F.col("node").alias("root"), F.lit(None).cast("array<bigint>").alias("tested"))
+    while True:
+        dealt = leaves.mapInArrow(deal, "trie int, top bigint, bits binary, node bigint, size bigint, root bigint, tested array<bigint>")
+        found = staged(dealt.groupBy("trie", "top").applyInPandas(walking(nearest, refused is None), "a bigint, b bigint").distinct(), "simhash-wide-found")
+        tests = staged(_confirmed(found.where("b is not null"), nodes, printed, similarity), "simhash-wide-tests")
+        alike, unlike = tests.where("alike").select("a", "b"), tests.where("not alike").select("a", "b")
+        links, refused = (alike, unlike) if links is None else (links.union(alike), refused.union(unlike))
+        roots = components(links, "simhash-wide-links")
+        open_leaves = found.where("b is null").select(F.col("a").alias("node")).distinct()
+        if open_leaves.isEmpty():
+            break
+        before = refused.union(refused.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("tested"))
+        leaves = nodes.join(open_leaves, "node").join(roots, "node", "left").join(before, "node", "left")
+        leaves = staged(leaves.select("bits", "node", "size", F.coalesce("root", "node").alias("root"), "tested"), "simhash-wide-open")
+        nearest *= 8
+    rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     # written first: then the join below is of two plain exchanges, which Spark splits where one group has most rows
     least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-wide-least")
-    classes = staged(rooted.join(least, "root").select("bits", "component_id"), "simhash-wide-components")
-    return printed.join(classes, "bits").select("doc_id", "component_id")
+    classes = staged(rooted.join(least, "root").select("node", "component_id"), "simhash-wide-components")
+    return printed.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -96,6 +96,31 @@ def test_near_copies_are_found_and_others_left_alone(spark):
     assert len(got) == len(rows) and sum(got[i] == family[i] for i in family) >= len(family) - 3
 
 
+def jaccard(a, b, k=5):
+    a, b = ({tuple(t[i : i + k]) for i in range(len(t) - k + 1)} for t in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("nearest", [1, 8])
+def test_links_are_exactly_of_the_similarity(spark, monkeypatch, nearest):
+    monkeypatch.setattr(simhash, "NEAREST", nearest)
+    rng, rows, want = random.Random(9), [], {}
+    for i in range(60):  # pairs of similarity 0.65 to 0.95
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        other = list(base)
+        for at in range(0, 5 + i % 8):
+            other[20 * at + 10] = "new"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i if jaccard(*[t for _, t in rows[-2:]]) >= 0.8 else 2 * i + 1}
+    # one repeated shingle outweighs all others, which differ
+    rows += [(k, "again " * 500 + " ".join(f"v{rng.randrange(10**6)}" for _ in range(100))) for k in (1000, 1001)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert not [i for i in want if want[i] == i != got[i]] and (got[1000], got[1001]) == (1000, 1001)
+    linked = [i for i in want if want[i] != i]
+    assert 10 < len(linked) < 50 and sum(got[i] == want[i] for i in linked) >= 0.9 * len(linked)
+
+
 def test_one_of_each_keeps_one_row_of_each_group(spark):
     rows, family = copies()
     rows += [(0, rows[0][1]), (500, rows[0][1]), (None, rows[7][1]), (None, None), (None, None), (600, ""), (7, "another text under an id that is taken " * 9)]
