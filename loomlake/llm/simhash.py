@@ -88,11 +88,13 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int, nodes: np.ndarray | None = None):
+def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int, nodes: np.ndarray | None = None, root: np.ndarray | None = None):
     """Yield (i, j) index arrays of a's and b's leaves within the budget; both sorted, each with one prefix of ``depth`` bits.
 
     ``nodes``: instead of the whole trees, pairs of nodes of that depth to begin with, as rows (start, stop, start, stop, spent).
+    ``root``: components of a's leaves (``same`` only); nodes that lie in one component aren't compared.
     """
+    changes = np.cumsum(np.diff(root, prepend=root[:1]) != 0) if root is not None else None
     todo = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64) if nodes is None else nodes)]
     zeros: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -120,6 +122,9 @@ def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, bu
         new.append(cross[:, a0 != b0] if same else cross)  # of a node with itself, one of the two mixed pairs is enough
         pairs = np.concatenate(new, axis=1)
         pairs = pairs[:, (pairs[0] < pairs[1]) & (pairs[2] < pairs[3]) & (pairs[4] <= budget)]
+        if root is not None and pairs.shape[1]:
+            a0, a1, b0, b1, _ = pairs
+            pairs = pairs[:, (changes[a0] != changes[a1 - 1]) | (changes[b0] != changes[b1 - 1]) | (root[a0] != root[b0])]
         todo += [(level + 1, pairs[:, at : at + FRONTIER]) for at in range(0, pairs.shape[1], FRONTIER)]
 
 
@@ -222,14 +227,14 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 
-def _alike_nodes(keys: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
-    """Nodes of ``depth`` bits with two leaves or more; those with over DENSE leaves are replaced by their children, again and again."""
+def _alike_nodes(keys: np.ndarray, depth: int, dense: int | None) -> list[tuple[int, np.ndarray]]:
+    """Nodes of ``depth`` bits with two leaves or more; those with over ``dense`` leaves (None: none) are replaced by their children, again and again."""
     out, start, stop = [], np.array([0]), np.array([len(keys)])
     if depth:
         start = np.concatenate(([0], np.flatnonzero(np.diff(keys >> np.uint64(64 - depth))) + 1))
         stop = np.append(start[1:], len(keys))
     while len(start):
-        many = (stop - start > DENSE) & (depth < 64)
+        many = (stop - start > (dense or len(keys))) & (depth < 64)
         own = (stop - start > 1) & ~many
         if own.any():
             out.append((depth, np.stack([start[own], stop[own], start[own], stop[own], np.zeros(own.sum(), np.int64)])))
@@ -298,7 +303,10 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Each leaf proposes its NEAREST candidates first. Leaves that had more are open, and take part in further rounds, in which a leaf
     proposes eight times as many that aren't in its component yet and were not tested before; until no leaf is open. So
-    all candidates are confirmed, refused or inside a component, and a large group of copies costs no squares.
+    all candidates are confirmed, refused or inside a component. In the first round a node of over DENSE leaves is cut into small
+    parts and its leaves are open; later rounds walk such nodes whole, less what lies in one component by then. A large group that its
+    links join thus costs no squares; leaves of a dense node without any confirmed link must be compared with all others.
+    A task has about twice SUBTREE_MOST leaves at most: leaves of larger subtrees are dealt to blocks, and each pair of blocks is a task.
     Texts without words are one group. Equal sets of shingles are one node; a row with a null id counts as the largest.
     """
     kind = docs.schema[id_column].dataType.simpleString()
@@ -328,15 +336,33 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         each = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)
         return np.packbits(np.ascontiguousarray(each[:, choice]), axis=1).copy(order="C").view(">u8").ravel().astype(np.uint64)
 
+    def tops(bits: list[bytes]):
+        for t, choice in enumerate(choices):
+            key = keys(bits, choice)
+            yield t, (key >> np.uint64(64 - coarse)).astype(np.int64) if coarse else np.zeros(len(key), np.int64)
+
     def deal(batches):
         for batch in batches:
-            if not len(batch):
-                continue
-            bits = batch.column(0).to_pylist()
-            for t, choice in enumerate(choices):
-                key = keys(bits, choice)
-                top = (key >> np.uint64(64 - coarse)).astype(np.int64) if coarse else np.zeros(len(key), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), t, np.int32)), pa.array(top), *batch.columns], ["trie", "top", *batch.schema.names])
+            for t, top in tops(batch.column(0).to_pylist()) if len(batch) else ():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), t, np.int32)), pa.array(top), *batch.columns], ["trie", "top", *batch.schema.names])
+
+    def sizes(batches):
+        for batch in batches:
+            for t, top in tops(batch.column(0).to_pylist()) if len(batch) else ():
+                top, count = np.unique(top, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), t, np.int32)), pa.array(top), pa.array(count)], ["trie", "top", "n"])
+
+    def blocked(leaves: DataFrame) -> DataFrame:
+        """The leaves dealt to all tries, with block and the pair of blocks (low, high) of each task they go to."""
+        dealt = leaves.mapInArrow(deal, "trie int, top bigint, bits binary, node bigint, size bigint, root bigint, tested array<bigint>")
+        large = leaves.select("bits").mapInArrow(sizes, "trie int, top bigint, n bigint").groupBy("trie", "top").agg(F.sum("n").alias("n")).where(F.col("n") > SUBTREE_MOST)
+        large = staged(large.select("trie", "top", F.ceil(F.col("n") / SUBTREE_MOST).cast("int").alias("blocks")), "simhash-wide-large")
+        if large.isEmpty():
+            return dealt.select("*", *[F.lit(0).alias(x) for x in ("block", "low", "high")])
+        # at most a row for SUBTREE_MOST leaves of each trie
+        dealt = dealt.join(F.broadcast(large), ["trie", "top"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return dealt.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("blocks", "other")
 
     def walking(nearest: int, first: bool):
         def walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -345,13 +371,19 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             key, wide = key[order], np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)[order]
             node, size, root = (pdf[x].to_numpy(np.int64)[order] for x in ("node", "size", "root"))
             tested, found = None if first else _tested(node, pdf["tested"].to_numpy()[order]), _Nearest(len(key), nearest)
-            for level, pairs in _alike_nodes(key, depth):
-                for i, j in _linked(key, key, True, level, 0, budget, pairs):
+            block, apart = pdf["block"].to_numpy()[order], pdf["low"].iloc[0] != pdf["high"].iloc[0]
+            if first:
+                _, at, count = np.unique(key >> np.uint64(64 - depth), return_inverse=True, return_counts=True)
+                found.more |= count[at] > DENSE
+            for level, pairs in _alike_nodes(key, depth, DENSE if first else None):
+                for i, j in _linked(key, key, True, level, 0, budget, pairs, None if first else root):
                     d = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
                     near = (d <= most) & (root[i] != root[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6)
                     if tested is not None and len(tested):
                         both = i * len(key) + j
                         near &= tested[np.minimum(np.searchsorted(tested, both), len(tested) - 1)] != both
+                    if apart:
+                        near &= block[i] != block[j]
                     if near.any():
                         found.add(i[near], j[near], d[near])
             i, j, _ = found.cut()
@@ -366,8 +398,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     links, refused, nearest = None, None, NEAREST
     leaves = nodes.select("bits", "node", "size", F.col("node").alias("root"), F.lit(None).cast("array<bigint>").alias("tested"))
     while True:
-        dealt = leaves.mapInArrow(deal, "trie int, top bigint, bits binary, node bigint, size bigint, root bigint, tested array<bigint>")
-        found = staged(dealt.groupBy("trie", "top").applyInPandas(walking(nearest, refused is None), "a bigint, b bigint").distinct(), "simhash-wide-found")
+        found = staged(blocked(leaves).groupBy("trie", "top", "low", "high").applyInPandas(walking(nearest, refused is None), "a bigint, b bigint").distinct(), "simhash-wide-found")
         tests = staged(_confirmed(found.where("b is not null"), nodes, printed, similarity), "simhash-wide-tests")
         alike, unlike = tests.where("alike").select("a", "b"), tests.where("not alike").select("a", "b")
         links, refused = (alike, unlike) if links is None else (links.union(alike), refused.union(unlike))

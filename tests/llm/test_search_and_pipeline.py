@@ -121,6 +121,18 @@ def test_links_are_exactly_of_the_similarity(spark, monkeypatch, nearest):
     assert 10 < len(linked) < 50 and sum(got[i] == want[i] for i in linked) >= 0.9 * len(linked)
 
 
+@pytest.mark.parametrize("most", [1 << 17, 64])
+def test_dense_nodes_lose_no_links(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "DENSE", 2)
+    monkeypatch.setattr(simhash, "SUBTREE_MOST", most)
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+    # each text is alike only to the next ones of the chain: 0.90, 0.81, 0.73
+    rows = [(i, " ".join(words[15 * i : 15 * i + 300])) for i in range(110)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.component_id for r in simhash.near_copies(docs).collect()} == {0}
+
+
 def test_one_of_each_keeps_one_row_of_each_group(spark):
     rows, family = copies()
     rows += [(0, rows[0][1]), (500, rows[0][1]), (None, rows[7][1]), (None, None), (None, None), (600, ""), (7, "another text under an id that is taken " * 9)]
