@@ -31,8 +31,6 @@ HISTORY_BITS, HOT = 18, 10_000
 ADDED = 0.1
 #: Tokens handled at once where they are read, and of a group, about.
 CHUNK, GROUP_TOKENS = 1_000_000, 1_000_000
-#: Weights are learned from the pairs of one word type in so many, chosen by hash, and of all hot words.
-TYPES = 8
 #: Steps of the estimates' ratio to a doubling, in the histogram that the weights are learned from; rounds of learning.
 STEPS, ROUNDS = 8, 200
 _END = xxhash.xxh64_intdigest(b" end ")
@@ -193,7 +191,7 @@ def gather(tokens: DataFrame) -> Counts:
         own = shared.value
         for chunk in _chunks(batches):
             hot = own.find_hot(chunk.word)
-            keep = chunk.train[chunk.doc] & ((hot >= 0) | (chunk.word % np.uint64(TYPES) == 0))
+            keep = chunk.train[chunk.doc]
             group = own.group(chunk.word, chunk.history, hot)
             at = np.flatnonzero(keep)
             at = at[np.lexsort((chunk.history[at], chunk.word[at], group[at]))]
@@ -217,7 +215,7 @@ def gather(tokens: DataFrame) -> Counts:
         ratio = (pair - 1) / np.maximum(total - 1, 1) / ((count[word] - 1 + ADDED) / (own.tokens - 1 + ADDED * (own.types + 1)))
         step = np.where(pair > 1, np.rint(np.log2(np.maximum(ratio, 1e-300)) * STEPS), -(1 << 20)).astype(np.int64)
         cell, where = np.unique(_bucket(total - 1).astype(np.int64) << 32 | (step + (1 << 24)), return_inverse=True)
-        weight = np.bincount(where, pair * np.where(hot[word] >= 0, 1, TYPES))
+        weight = np.bincount(where, pair)
         often = pair * HOT >= own.tokens
         return pd.DataFrame({
             "kind": np.repeat([0, 1], [len(cell), often.sum()]).astype(np.int32), "a": np.concatenate((cell, words[word[often]].view(np.int64))),

@@ -188,6 +188,27 @@ def test_language_model_is_the_same_in_many_groups(spark, monkeypatch):
     assert one.keys() == many.keys() and all(math.isclose(one[k], many[k], rel_tol=1e-6) for k in one)
 
 
+def test_weights_are_learned_from_all_types(spark):
+    rows = list(enumerate(texts(200)))
+    docs = spark.createDataFrame([(i, t, i % 10 != 0) for i, t in rows], "doc_id bigint, text string, train boolean")
+    counts = language_model.gather(docs)
+    words, pairs, totals = Counter(), Counter(), Counter()
+    for i, t in rows:
+        if i % 10:
+            w = language_model._hashes(t).tolist()
+            pairs.update(zip([x >> (64 - language_model.HISTORY_BITS) for x in [language_model._END, *w[:-1]]], w, strict=True))
+            words.update(w)
+    for w, c in words.items():
+        totals[w >> (64 - language_model.HISTORY_BITS)] += c
+    n, v, cells = sum(words.values()), len(words), Counter()
+    for (h, w), c in pairs.items():
+        ratio = (c - 1) / max(totals[h] - 1, 1) / ((words[w] - 1 + 0.1) / (n - 1 + 0.1 * (v + 1)))
+        step = round(math.log2(ratio) * language_model.STEPS) if c > 1 else -(1 << 20)
+        cells[math.frexp(totals[h] - 1)[1] << 32 | (step + (1 << 24))] += c
+    want = language_model.learn(np.array(list(cells)), np.array(list(cells.values()), float))
+    assert np.allclose(counts.weights, want, atol=1e-9)
+
+
 @pytest.mark.parametrize("n, bits", [(2, 1), (2, 4), (3, 3), (4, 2)])
 def test_hilbert_steps_to_neighbours(n, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n, indexing="ij")).reshape(n, -1)
