@@ -1,8 +1,8 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed in cells of source, language and topic. The cells' weights are raked: scaled to each marginal's
-targets in turn, until all agree. A document is then drawn with the probability that brings its cell's expected tokens
-to its raked share of the token budget, at most 1.
+targets in turn, until all agree. A document is then drawn as often as brings its cell's expected tokens to its raked
+share of the token budget: cells that have less than their share are repeated, so the sample meets the targets.
 """
 
 from __future__ import annotations
@@ -78,43 +78,42 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None], rounds:
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """Cells with ``probability``: min(1, k * share / tokens), with the k that makes the expected tokens ``budget`` of all.
+    """Cells with ``probability``, the expected copies of each document: k * share / tokens, with the k that makes the expected tokens ``budget`` of all.
 
-    k is found by filling: cells that reach 1 are set aside and the rest of the budget is shared by the others,
-    until no more do. Where too few tokens have a share, all of them are taken.
+    Over 1 where a cell has fewer tokens than its share of the budget: capped, the sample would miss the targets. 1 in cells without tokens.
     """
-    rate = F.col("share") / F.col("tokens")
-    total = raked.agg(F.sum("tokens")).first()[0] or 0
-    k, wanted = None, float(budget * total)
-    while total:
-        full = (F.lit(k) * rate >= 1) if k is not None else F.lit(False)
-        row = raked.where("tokens > 0").agg(F.sum(F.when(full, F.col("tokens"))).alias("full"), F.sum(F.when(~full, F.col("share"))).alias("open")).first()
-        if not row["open"]:
-            break
-        now = max(0.0, wanted - (row["full"] or 0)) / row["open"]
-        if k is not None and now <= k * (1 + 1e-12):
-            break
-        k = now
-    p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(float(k or 0.0)) * rate)).otherwise(F.lit(1.0))
-    return raked.withColumn("probability", p)
+    row = raked.agg(F.sum("tokens").alias("tokens"), F.sum("share").alias("share")).first()
+    k = budget * row["tokens"] / row["share"] if row["share"] else 0.0
+    return raked.withColumn("probability", F.when(F.col("tokens") > 0, F.lit(float(k)) * F.col("share") / F.col("tokens")).otherwise(F.lit(1.0)))
+
+
+def marginals(kept: DataFrame, prefix: str = "_") -> DataFrame:
+    """(margin, value, share): the shares of tokens that rows of ``mix`` have by source, lang and topic, to hold against the targets."""
+    total = kept.agg(F.sum(f"{prefix}tokens").alias("total"))
+    parts = [kept.groupBy(F.lit(m).alias("margin"), F.col(f"{prefix}{m}").alias("value")).agg(F.sum(f"{prefix}tokens").alias("tokens")) for m in MARGINS]
+    return parts[0].union(parts[1]).union(parts[2]).crossJoin(F.broadcast(total)).select("margin", "value", (F.col("tokens") / F.col("total")).alias("share"))
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None] | None = None, budget: float = BUDGET, id_column: str = "doc_id", text_column: str = "text", topic: Column | None = None, seed: int = SEED) -> DataFrame:
     """The sampled rows of ``docs``, all columns, with _source, _lang, _topic, _tokens and _probability (more underscores where ``docs`` has such a column).
 
     ``targets`` maps source, lang and topic to target weights by value, or to None for tempered shares. Nulls are
-    a value of their own (``<null>``). A row is kept if a hash of its id and the seed, as a number in [0, 1), is below its
-    cell's probability: the same for repeated rows, after a retry and at any partitioning. Rows without
+    a value of their own (``<null>``). A row is given as often as the whole part of its cell's probability (the expected copies, which can be over 1)
+    says, and once more if a hash of its id and the seed, as a number in [0, 1), is below the fraction: the same for repeated rows, after a
+    retry and at any partitioning. The targets are met but for the chance of the draw, by tokens. Rows without
     tokens (null or empty texts) in cells without any tokens are kept. Cells are joined by a broadcast
     only where Spark's measure of their size allows it.
     """
-    p = free_prefix(docs, [*MARGINS, "tokens", "probability"])
+    p = free_prefix(docs, [*MARGINS, "tokens", "probability", "copy"])
     rows = marked(docs, text_column, topic, p)
     cells = staged(rows.groupBy(*[F.col(f"{p}{m}").alias(m) for m in MARGINS]).agg(F.sum(f"{p}tokens").alias("tokens")), "mix-cells")
     chosen = {m: (targets or {}).get(m) for m in MARGINS}
     found = staged(probabilities(rake(cells, chosen), budget).select(*[F.col(m).alias(f"{p}{m}") for m in MARGINS], F.col("probability").alias(f"{p}probability")), "mix-probability")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return rows.join(found, [f"{p}{m}" for m in MARGINS]).where(draw < F.col(f"{p}probability")).select(*docs.columns, *[f"{p}{m}" for m in MARGINS], f"{p}tokens", f"{p}probability")
+    whole = F.floor(f"{p}probability")
+    copies = (whole + (draw < F.col(f"{p}probability") - whole).cast("int")).cast("int")
+    drawn = rows.join(found, [f"{p}{m}" for m in MARGINS]).where(copies > 0)
+    return drawn.withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns, *[f"{p}{m}" for m in MARGINS], f"{p}tokens", f"{p}probability")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,3 +251,15 @@ def test_raking_meets_the_targets(spark):
     assert abs(kept["_tokens"].sum() / total - 0.5) < 0.08 and 902 in set(kept["doc_id"])
     assert set(kept["doc_id"]) == set(mixing.mix(docs.repartition(7), budget=0.5).toPandas()["doc_id"])
     assert mixing.mix(docs.limit(0)).collect() == []
+
+
+def test_sample_meets_the_targets(spark):
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randint(1, 40), rng.choice(["en"] * 5 + ["de"]), rng.choice(["a"] * 18 + ["b", "c"])) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = mixing.mix(docs, {"source": {"a": 1, "b": 1, "c": 2}, "lang": {"en": 1, "de": 1}, "topic": None}, budget=0.7)
+    got = {(r.margin, r.value): r.share for r in mixing.marginals(kept).collect()}
+    want = {("source", "a"): 0.25, ("source", "b"): 0.25, ("source", "c"): 0.5, ("lang", "en"): 0.5, ("lang", "de"): 0.5}
+    assert all(abs(got[k] - v) < 0.03 for k, v in want.items())
+    total = sum(len(t.split()) for _, t, *_ in rows)
+    assert abs(kept.agg({"_tokens": "sum"}).first()[0] / total - 0.7) < 0.03
