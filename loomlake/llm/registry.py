@@ -19,7 +19,6 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
-    "op7_language_model": language_model.op7_language_model,
     "op8_ann": ann.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
 }

@@ -263,3 +263,9 @@ def test_sample_meets_the_targets(spark):
     assert all(abs(got[k] - v) < 0.03 for k, v in want.items())
     total = sum(len(t.split()) for _, t, *_ in rows)
     assert abs(kept.agg({"_tokens": "sum"}).first()[0] / total - 0.7) < 0.03
+
+
+def test_oracles_are_sql():
+    from loomlake.llm import registry
+
+    assert all(isinstance(x, str) for x in registry.ORACLE_SQL.values())
