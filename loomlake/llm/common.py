@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Used only where the session names no shared folder (local tests).
 LOCAL_CHECKPOINTS = "file:/tmp/checkpoints"
+#: Spark's setting that deletes the shuffle files of an execution at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -17,19 +19,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS).rstrip("/")
+    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``; a machine's own folder only on a local master."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or LOCAL_CHECKPOINTS).rstrip("/")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage like ``checkpoint()``, but computes the plan once instead of twice, keeps
-    column pruning, and survives the loss of executors because the files are in shared storage.
+    column pruning, and survives the loss of executors because the files are in shared storage. The shuffle files of the
+    write are of no more use then, and Spark deletes them; the session's own setting for that is put back.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,9 +60,3 @@ def ascii_lower(c: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """CRC-32 of the id written as decimal text (null: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-
-
-def batched(docs: DataFrame) -> DataFrame:
-    """``docs``, to be handed to Python: Arrow batches are kept to few rows, because texts are long and a batch is held in both processes."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return docs

@@ -20,19 +20,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import batched, free_prefix, read, staged
+from loomlake.llm.common import free_prefix, read, staged
 
 SEED = 42
 #: Contract of the query: words of a shingle, bits that linked fingerprints differ in at most.
 SHINGLE_WORDS, MAX_BITS = 3, 2
 #: Fingerprints of a subtree: sought, and at most (then the prefix is made longer).
 SUBTREE, SUBTREE_MOST = 1 << 14, 1 << 17
-#: Pairs of nodes held at once, and pairs of leaves that are compared without further descent.
-FRONTIER, LEAF_PAIRS = 1 << 19, 16
-#: Near copies: bits of a fingerprint, chance that a pair at the threshold is met, leaves of a node that are compared with each other at most.
-WIDE, RECALL, DENSE = 256, 0.97, 512
-#: Near copies: candidates that a leaf proposes in the first round.
-NEAREST = 8
+#: Pairs of nodes and pairs of leaves held at once, and pairs of leaves that are compared without further descent.
+FRONTIER, LEAVES, LEAF_PAIRS = 1 << 18, 1 << 18, 16
+#: Near copies: bits of a fingerprint, chance that a pair at the threshold is met in some trie.
+WIDE, RECALL = 256, 0.97
+#: Exact check of near copies: texts and shingles of a block, and partners that a text meets before all others.
+BLOCK_TEXTS, BLOCK_SHINGLES, NEAREST = 1 << 13, 1 << 22, 8
 #: Shingles hashed at once.
 BLOCK = 1 << 16
 
@@ -81,20 +81,19 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "bits"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
+    return docs.select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
 
-def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int, nodes: np.ndarray | None = None, root: np.ndarray | None = None):
+def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, budget: int, nodes: np.ndarray | None = None, label: np.ndarray | None = None):
     """Yield (i, j) index arrays of a's and b's leaves within the budget; both sorted, each with one prefix of ``depth`` bits.
 
     ``nodes``: instead of the whole trees, pairs of nodes of that depth to begin with, as rows (start, stop, start, stop, spent).
-    ``root``: components of a's leaves (``same`` only); nodes that lie in one component aren't compared.
+    ``label``: groups of a's leaves (``same`` only), which may be joined between two yields; what lies in one group isn't compared.
     """
-    changes = np.cumsum(np.diff(root, prepend=root[:1]) != 0) if root is not None else None
     todo = [(depth, np.array([[0], [len(a)], [0], [len(b)], [spent]], np.int64) if nodes is None else nodes)]
     zeros: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -108,45 +107,53 @@ def _linked(a: np.ndarray, b: np.ndarray, same: bool, depth: int, spent: int, bu
 
     while todo:
         level, pairs = todo.pop()
+        if label is not None:
+            a0, a1, b0, b1, _ = pairs
+            changes = np.cumsum(np.diff(label, prepend=label[:1]) != 0)
+            pairs = pairs[:, (changes[a0] != changes[a1 - 1]) | (changes[b0] != changes[b1 - 1]) | (label[a0] != label[b0])]
         a0, a1, b0, b1, d = pairs
-        small = ((a1 - a0) * (b1 - b0) <= LEAF_PAIRS) | (level == 64)
+        small = (a1 - a0) * (b1 - b0) <= LEAF_PAIRS
         if small.any():
-            yield from _leaves(a, b, same, pairs[:, small], budget)
+            yield from _leaves(a, b, same, pairs[:, small], budget, label)
             a0, a1, b0, b1, d = pairs[:, ~small]
         if not len(d):
             continue
-        za, zb = split(level)
-        am, bm = a0 + za[a1] - za[a0], b0 + zb[b1] - zb[b0]
-        new = [np.stack([a0, am, b0, bm, d]), np.stack([am, a1, bm, b1, d]), np.stack([a0, am, bm, b1, d + 1])]
-        cross = np.stack([am, a1, b0, bm, d + 1])
+        if level < 64:
+            za, zb = split(level)
+            am, bm, more = a0 + za[a1] - za[a0], b0 + zb[b1] - zb[b0], d + 1
+        else:  # many leaves of equal keys: halves
+            am, bm, more = (a0 + a1) // 2, (b0 + b1) // 2, d
+        new = [np.stack([a0, am, b0, bm, d]), np.stack([am, a1, bm, b1, d]), np.stack([a0, am, bm, b1, more])]
+        cross = np.stack([am, a1, b0, bm, more])
         new.append(cross[:, a0 != b0] if same else cross)  # of a node with itself, one of the two mixed pairs is enough
         pairs = np.concatenate(new, axis=1)
         pairs = pairs[:, (pairs[0] < pairs[1]) & (pairs[2] < pairs[3]) & (pairs[4] <= budget)]
-        if root is not None and pairs.shape[1]:
-            a0, a1, b0, b1, _ = pairs
-            pairs = pairs[:, (changes[a0] != changes[a1 - 1]) | (changes[b0] != changes[b1 - 1]) | (root[a0] != root[b0])]
-        todo += [(level + 1, pairs[:, at : at + FRONTIER]) for at in range(0, pairs.shape[1], FRONTIER)]
+        todo += [(min(level + 1, 64), pairs[:, at : at + FRONTIER]) for at in range(0, pairs.shape[1], FRONTIER)]
 
 
-def _leaves(a, b, same, pairs, budget):
-    a0, a1, b0, b1, _ = pairs
-    counts = (a1 - a0) * (b1 - b0)
-    for at in range(0, len(counts), FRONTIER):
-        n, part = counts[at : at + FRONTIER], slice(at, at + FRONTIER)
+def _leaves(a, b, same, pairs, budget, label=None):
+    """The pairs of leaves under ``pairs`` of nodes that are within the budget; about LEAVES are held at once."""
+    counts = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
+    part = np.cumsum(counts) // LEAVES
+    for at, stop in zip(cuts := np.flatnonzero(np.diff(part, prepend=-1)), np.append(cuts[1:], len(part)), strict=True):
+        a0, a1, b0, b1, _ = pairs[:, at:stop]
+        n = counts[at:stop]
         of = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        wide = (b1 - b0)[part][of]
-        i, j = a0[part][of] + k // wide, b0[part][of] + k % wide
+        wide = (b1 - b0)[of]
+        i, j = a0[of] + k // wide, b0[of] + k % wide
         near = _popcount(a[i] ^ b[j]) <= budget
         if same:
             near &= i < j
+        if label is not None:
+            near &= label[i] != label[j]
         if near.any():
             yield i[near], j[near]
 
 
-def _stars(values: np.ndarray, links) -> tuple[np.ndarray, np.ndarray]:
-    """Groups that the links form: each value but a group's smallest, with that smallest. values: sorted."""
-    label = np.arange(len(values))
+def _stars(values: np.ndarray, links, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Groups that the links form: each value but a group's first, with that first. ``label`` (at first its own places) is kept up to date in place."""
+    label = np.arange(len(values)) if label is None else label
     for i, j in links:
         while True:
             i, j = label[i], label[j]
@@ -156,7 +163,7 @@ def _stars(values: np.ndarray, links) -> tuple[np.ndarray, np.ndarray]:
             i, j = i[apart], j[apart]
             np.minimum.at(label, np.maximum(i, j), np.minimum(i, j))
             while (label[label] != label).any():
-                label = label[label]
+                label[:] = label[label]
     member = np.flatnonzero(label != np.arange(len(values)))
     return values[member], values[label[member]]
 
@@ -227,68 +234,54 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 
-def _alike_nodes(keys: np.ndarray, depth: int, dense: int | None) -> list[tuple[int, np.ndarray]]:
-    """Nodes of ``depth`` bits with two leaves or more; those with over ``dense`` leaves (None: none) are replaced by their children, again and again."""
-    out, start, stop = [], np.array([0]), np.array([len(keys)])
-    if depth:
-        start = np.concatenate(([0], np.flatnonzero(np.diff(keys >> np.uint64(64 - depth))) + 1))
-        stop = np.append(start[1:], len(keys))
-    while len(start):
-        many = (stop - start > (dense or len(keys))) & (depth < 64)
-        own = (stop - start > 1) & ~many
-        if own.any():
-            out.append((depth, np.stack([start[own], stop[own], start[own], stop[own], np.zeros(own.sum(), np.int64)])))
-        start, stop = start[many], stop[many]
-        if len(start):
-            zero = np.concatenate(([0], np.cumsum((keys >> np.uint64(63 - depth)) & np.uint64(1) == 0)))
-            middle = start + zero[stop] - zero[start]
-            start, stop = np.concatenate((start, middle)), np.concatenate((middle, stop))
-            depth += 1
-    return out
-
-
-class _Nearest:
-    """For each leaf its ``most`` nearest partners of those added, and which leaves had more."""
-
-    def __init__(self, n: int, most: int):
-        self.most, self.more, self.held, self.size = most, np.zeros(n, bool), [], 0
-
-    def add(self, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
-        self.held += [np.stack([i, j, d]), np.stack([j, i, d])]
-        self.size += 2 * len(i)
-        if self.size > FRONTIER:
-            self.cut()
-
-    def cut(self) -> np.ndarray:
-        i, j, d = np.concatenate(self.held, axis=1) if self.held else np.zeros((3, 0), np.int64)
-        order = np.lexsort((j, d, i))
-        i, j, d = i[order], j[order], d[order]
-        start = np.flatnonzero(np.diff(i, prepend=-1))
-        near = np.arange(len(i)) - np.repeat(start, np.diff(start, append=len(i))) < self.most
-        self.more[i[~near]] = True
-        self.held = [np.stack([i[near], j[near], d[near]])]
-        # what stays can be more than FRONTIER: then the next cut comes after as much again
-        self.size = min(int(near.sum()), FRONTIER // 2)
-        return self.held[0]
-
-
-def _tested(node: np.ndarray, tested) -> np.ndarray:
-    """Sorted numbers i * len(node) + j of the leaves' pairs that were tested before."""
-    own = [np.asarray(x, np.int64) if x is not None else np.zeros(0, np.int64) for x in tested]
-    i, other = np.repeat(np.arange(len(node)), [len(x) for x in own]), np.concatenate(own) if own else np.zeros(0, np.int64)
-    order = np.argsort(node)
-    at = np.minimum(np.searchsorted(node[order], other), len(node) - 1)
-    here = node[order[at]] == other
-    return np.sort(i[here] * len(node) + order[at[here]])
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` (a, b) of nodes with ``alike``: whether the Jaccard similarity of their shingles is ``similarity`` or more."""
-    needed = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "row")
-    own = staged(sets.select("row", "shingles").join(needed, "row").select("node", "shingles"), "simhash-wide-sets")
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", (shared / (F.size("x") + F.size("y") - shared) >= similarity).alias("alike"))
+def _alike_nodes(keys: np.ndarray, depth: int) -> np.ndarray:
+    """The trie's nodes of ``depth`` bits that have two leaves or more, each as a pair with itself."""
+    start = np.flatnonzero(np.diff(keys >> np.uint64(64 - depth), prepend=keys[:1] >> np.uint64(64 - depth)))
+    start = np.concatenate(([0], start))
+    stop = np.append(start[1:], len(keys))
+    many = stop - start > 1
+    return np.stack([start[many], stop[many], start[many], stop[many], np.zeros(many.sum(), np.int64)])
+
+
+def _alike(own: np.ndarray, others: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which sorted sets have a Jaccard similarity to ``own`` of ``similarity`` or more."""
+    sizes = np.array([len(x) for x in others])
+    every = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    shared = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return shared / (len(own) + sizes - shared) >= similarity
+
+
+def _exact_links(sets: list[np.ndarray], wide: np.ndarray, block: np.ndarray, label: np.ndarray, most: int, similarity: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join the texts' groups in ``label`` over all pairs of ``similarity`` or more whose bits differ in ``most`` at most.
+
+    Each text meets its NEAREST first; then all that are not in its group by then. ``block``: texts of one block aren't compared, unless all are of one.
+    """
+    links, size, apart = [], np.array([len(x) for x in sets]), (block != block[0]).any()
+
+    def partners(i: int, most_of_them: int | None) -> np.ndarray:
+        d = _popcount(wide[i] ^ wide[i + 1 :]).sum(axis=1, dtype=np.int64)
+        other = size[i + 1 :]
+        near = (d <= most) & (label[i + 1 :] != label[i]) & (np.minimum(other, size[i]) >= similarity * np.maximum(other, size[i]) - 1e-6)
+        if apart:
+            near &= block[i + 1 :] != block[i]
+        found = np.flatnonzero(near)
+        return i + 1 + found[np.argsort(d[found], kind="stable")][:most_of_them]
+
+    def meet(i: int, found: np.ndarray) -> None:
+        for j in found[_alike(sets[i], [sets[j] for j in found], similarity)]:
+            if label[i] != label[j]:
+                links.append((i, int(j)))
+                label[label == max(label[i], label[j])] = min(label[i], label[j])
+
+    for nearest in (NEAREST, None) if len(sets) > NEAREST else (None,):
+        for i in range(len(sets) - 1):
+            found, many = partners(i, nearest), NEAREST
+            while len(found):
+                meet(i, found[:many])
+                found = found[many:]
+                found, many = found[label[found] != label[i]], 8 * many
+    return links
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -299,29 +292,30 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     nodes of a prefix about as long as the logarithm of the number of sets are walked against themselves with
     the whole budget of bits. The number of tries is set so that a pair at the threshold shares the prefix in one of them with
     probability RECALL; a pair of leaves is a candidate if its bits differ in no more than such a pair's expected bits and three
-    deviations. Bits only propose: every link is confirmed by the exact Jaccard similarity of the two sets.
-
-    Each leaf proposes its NEAREST candidates first. Leaves that had more are open, and take part in further rounds, in which a leaf
-    proposes eight times as many that aren't in its component yet and were not tested before; until no leaf is open. So
-    all candidates are confirmed, refused or inside a component. In the first round a node of over DENSE leaves is cut into small
-    parts and its leaves are open; later rounds walk such nodes whole, less what lies in one component by then. A large group that its
-    links join thus costs no squares; leaves of a dense node without any confirmed link must be compared with all others.
-    A task has about twice SUBTREE_MOST leaves at most: leaves of larger subtrees are dealt to blocks, and each pair of blocks is a task.
-    Texts without words are one group. Equal sets of shingles are one node; a row with a null id counts as the largest.
+    deviations. A task emits a forest of its candidates and does not compare what is in one group by then, so
+    groups of copies cost no squares here. All forests together give groups of candidates.
+
+    Bits only propose: inside a group, texts are linked by the exact Jaccard similarity of their shingle sets. Sets are made for texts in groups
+    only. A text meets its nearest partners first and then all that its links did not join it to, so the
+    work grows with the square only of texts that are near a group and in none. Groups of over BLOCK_TEXTS texts
+    or BLOCK_SHINGLES shingles are dealt to blocks: first each block, then each pair of blocks is a task, less what is joined.
+    Leaves of over SUBTREE_MOST in one subtree of a trie are dealt to pairs of blocks as well.
+
+    Texts without words are one group. Equal sets of shingles are one node, so copies and repeated rows cost one comparison; a row with a null id
+    counts as the largest. An empty table gives no rows. Other columns are not read.
     """
     kind = docs.schema[id_column].dataType.simpleString()
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
     def print_all(batches):
         for batch in batches:
             sets = [np.unique(_shingle_hashes(x.as_py(), words_per_shingle)) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64()), pa.array([_sign_bits(x, WIDE // 64) for x in sets], pa.binary()),
-                 pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
-                ["doc_id", "node", "bits", "size", "shingles"])
+                [batch.column(0), pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64()), pa.array([_sign_bits(x, WIDE // 64) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())],
+                ["doc_id", "node", "bits", "size"])
 
-    printed = batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(print_all, f"doc_id {kind}, node bigint, bits binary, size bigint, shingles array<bigint>")
-    printed = staged(printed.withColumn("row", F.monotonically_increasing_id()), "simhash-wide")
-    nodes = staged(printed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("bits").alias("bits"), F.min("size").alias("size")), "simhash-wide-nodes")
+    printed = staged(texts.mapInArrow(print_all, f"doc_id {kind}, node bigint, bits binary, size bigint"), "simhash-wide")
+    nodes = staged(printed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("bits").alias("bits"), F.min("size").alias("size")), "simhash-wide-nodes")
     # Jaccard s is a cosine of 2s / (1 + s) at least
     differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
     budget, most = (round(bits * differ + 3 * math.sqrt(bits * differ * (1 - differ))) for bits in (64, WIDE))
@@ -346,70 +340,82 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             for t, top in tops(batch.column(0).to_pylist()) if len(batch) else ():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), t, np.int32)), pa.array(top), *batch.columns], ["trie", "top", *batch.schema.names])
 
-    def sizes(batches):
+    def counted(batches):
         for batch in batches:
             for t, top in tops(batch.column(0).to_pylist()) if len(batch) else ():
                 top, count = np.unique(top, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), t, np.int32)), pa.array(top), pa.array(count)], ["trie", "top", "n"])
 
-    def blocked(leaves: DataFrame) -> DataFrame:
+    def blocked() -> DataFrame:
         """The leaves dealt to all tries, with block and the pair of blocks (low, high) of each task they go to."""
-        dealt = leaves.mapInArrow(deal, "trie int, top bigint, bits binary, node bigint, size bigint, root bigint, tested array<bigint>")
-        large = leaves.select("bits").mapInArrow(sizes, "trie int, top bigint, n bigint").groupBy("trie", "top").agg(F.sum("n").alias("n")).where(F.col("n") > SUBTREE_MOST)
+        dealt = nodes.select("bits", "node", "size").mapInArrow(deal, "trie int, top bigint, bits binary, node bigint, size bigint")
+        large = nodes.select("bits").mapInArrow(counted, "trie int, top bigint, n bigint").groupBy("trie", "top").agg(F.sum("n").alias("n")).where(F.col("n") > SUBTREE_MOST)
         large = staged(large.select("trie", "top", F.ceil(F.col("n") / SUBTREE_MOST).cast("int").alias("blocks")), "simhash-wide-large")
         if large.isEmpty():
             return dealt.select("*", *[F.lit(0).alias(x) for x in ("block", "low", "high")])
-        # at most a row for SUBTREE_MOST leaves of each trie
-        dealt = dealt.join(F.broadcast(large), ["trie", "top"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        return dealt.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("blocks", "other")
-
-    def walking(nearest: int, first: bool):
-        def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-            key = keys(list(pdf["bits"]), choices[int(pdf["trie"].iloc[0])])
-            order = np.argsort(key, kind="stable")
-            key, wide = key[order], np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)[order]
-            node, size, root = (pdf[x].to_numpy(np.int64)[order] for x in ("node", "size", "root"))
-            tested, found = None if first else _tested(node, pdf["tested"].to_numpy()[order]), _Nearest(len(key), nearest)
-            block, apart = pdf["block"].to_numpy()[order], pdf["low"].iloc[0] != pdf["high"].iloc[0]
-            if first:
-                _, at, count = np.unique(key >> np.uint64(64 - depth), return_inverse=True, return_counts=True)
-                found.more |= count[at] > DENSE
-            for level, pairs in _alike_nodes(key, depth, DENSE if first else None):
-                for i, j in _linked(key, key, True, level, 0, budget, pairs, None if first else root):
-                    d = np.bitwise_count(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64)
-                    near = (d <= most) & (root[i] != root[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6)
-                    if tested is not None and len(tested):
-                        both = i * len(key) + j
-                        near &= tested[np.minimum(np.searchsorted(tested, both), len(tested) - 1)] != both
-                    if apart:
-                        near &= block[i] != block[j]
-                    if near.any():
-                        found.add(i[near], j[near], d[near])
-            i, j, _ = found.cut()
-            more = node[found.more]
-            # a row of an open leaf has no partner
-            other = pd.Series(np.concatenate((np.minimum(node[i], node[j]), more)), dtype="Int64")
-            other[len(i) :] = pd.NA
-            return pd.DataFrame({"a": np.concatenate((np.maximum(node[i], node[j]), more)), "b": other})
-
-        return walk
-
-    links, refused, nearest = None, None, NEAREST
-    leaves = nodes.select("bits", "node", "size", F.col("node").alias("root"), F.lit(None).cast("array<bigint>").alias("tested"))
-    while True:
-        found = staged(blocked(leaves).groupBy("trie", "top", "low", "high").applyInPandas(walking(nearest, refused is None), "a bigint, b bigint").distinct(), "simhash-wide-found")
-        tests = staged(_confirmed(found.where("b is not null"), nodes, printed, similarity), "simhash-wide-tests")
-        alike, unlike = tests.where("alike").select("a", "b"), tests.where("not alike").select("a", "b")
-        links, refused = (alike, unlike) if links is None else (links.union(alike), refused.union(unlike))
-        roots = components(links, "simhash-wide-links")
-        open_leaves = found.where("b is null").select(F.col("a").alias("node")).distinct()
-        if open_leaves.isEmpty():
-            break
-        before = refused.union(refused.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("tested"))
-        leaves = nodes.join(open_leaves, "node").join(roots, "node", "left").join(before, "node", "left")
-        leaves = staged(leaves.select("bits", "node", "size", F.coalesce("root", "node").alias("root"), "tested"), "simhash-wide-open")
-        nearest *= 8
+        # at most a row for SUBTREE_MOST leaves of each trie; Spark broadcasts it or not by its measured size
+        dealt = dealt.join(large, ["trie", "top"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        return _paired(dealt, "blocks")
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = keys(list(pdf["bits"]), choices[int(pdf["trie"].iloc[0])])
+        order = np.argsort(key, kind="stable")
+        key, wide = key[order], np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)[order]
+        node, size, block = (pdf[x].to_numpy(np.int64)[order] for x in ("node", "size", "block"))
+        label, apart = np.arange(len(key)), pdf["low"].iloc[0] != pdf["high"].iloc[0]
+
+        def candidates():
+            for i, j in _linked(key, key, True, depth, 0, budget, _alike_nodes(key, depth), label):
+                near = (_popcount(wide[i] ^ wide[j]).sum(axis=1, dtype=np.int64) <= most) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6)
+                if apart:
+                    near &= block[i] != block[j]
+                yield i[near], j[near]
+
+        member, root = _stars(node, candidates(), label)
+        return pd.DataFrame({"a": member, "b": root})
+
+    found = staged(blocked().groupBy("trie", "top", "low", "high").applyInPandas(walk, "a bigint, b bigint").distinct(), "simhash-wide-found")
+    groups = components(found, "simhash-wide-groups")
+    members = nodes.join(groups.withColumnRenamed("root", "group"), "node")
+    needed = members.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    needed = staged(members.join(needed, "group").select(F.col("least").alias("of"), "node", "bits", "group", "blocks"), "simhash-wide-needed")
+    small_groups = max(1, math.ceil(needed.count() / BLOCK_TEXTS))
+
+    def shingled(batches):
+        for batch in batches:
+            sets = [np.unique(_shingle_hashes(x.as_py(), words_per_shingle)) for x in batch.column(0)]
+            digests = pa.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], pa.uint64()).view(pa.int64())
+            # of texts under one id, and of repeated rows, those that are the node
+            yield pa.RecordBatch.from_arrays([digests, pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), *batch.columns[1:]], ["digest", "shingles", *batch.schema.names[1:]])
+
+    def sets_of(chosen: DataFrame) -> DataFrame:
+        rows = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", *[c for c in chosen.columns if c != "of"])
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+        return rows.mapInArrow(shingled, f"digest bigint, shingles array<bigint>, {kinds}").where("digest = node").drop("digest")
+
+    def check(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("node").sort_values(["group", "node"])
+        links = []
+        for _, own in pdf.groupby("group", sort=False):
+            if len(own) > 1:
+                sets = [np.asarray(x, np.int64).view(np.uint64) for x in own["shingles"]]
+                label = np.unique(own["root"].to_numpy(np.int64), return_inverse=True)[1]
+                node, wide = own["node"].to_numpy(np.int64), np.frombuffer(b"".join(own["bits"]), np.uint64).reshape(len(own), -1)
+                links += [(node[i], node[j]) for i, j in _exact_links(sets, wide, own["block"].to_numpy(), label, most, similarity)]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    def checked(chosen: DataFrame, label: str) -> DataFrame:
+        return staged(sets_of(chosen).groupBy("team", "low", "high").applyInPandas(check, "a bigint, b bigint"), label)
+
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    inside = needed.select("*", F.col("node").alias("root"), own.alias("block")).select("*", F.when(F.col("blocks") > 1, F.col("group")).otherwise(F.pmod(F.xxhash64("group"), F.lit(small_groups))).alias("team"), F.col("block").alias("low"), F.col("block").alias("high"))
+    links = checked(inside.drop("blocks"), "simhash-wide-links")
+    many = needed.where("blocks > 1")
+    if not many.isEmpty():
+        roots = components(links, "simhash-wide-roots")
+        across = _paired(many.join(roots, "node", "left").select("of", "node", "bits", "group", "blocks", F.coalesce("root", "node").alias("root"), F.col("group").alias("team")), "blocks")
+        links = links.union(checked(across.where("low < high"), "simhash-wide-links"))
+    roots = components(links, "simhash-wide-roots")
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     # written first: then the join below is of two plain exchanges, which Spark splits where one group has most rows
     least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-wide-least")
@@ -417,20 +423,29 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return printed.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
 
 
+def _paired(rows: DataFrame, blocks: str) -> DataFrame:
+    """``rows`` with ``block`` (by a hash of the node) and once for each pair of blocks (low, high) that it is in."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+    return rows.select("*", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high")).drop(blocks, "_other")
+
+
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, less near copies: of each group the row of the least id stays (null ids count as the largest).
 
-    Rows are told apart by id and text, so one id may stand for several texts; rows equal in both are one document.
-    Only narrow columns are grouped; texts move only if the rows to drop are too many for Spark to broadcast.
+    Rows are told apart by id and text, so one id may stand for several texts; rows equal in both are one document, of which the row
+    stays that is least as JSON text. Only narrow columns are grouped; texts move only if the rows to drop, or those to compare, are too
+    many for Spark to broadcast.
     """
     key = free_prefix(docs, ["key"]) + "key"
-    keyed = docs.withColumn(key, F.struct(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(text_column).alias("text")))
+    keyed = docs.withColumn(key, F.struct(F.col(id_column).isNull().alias("last"), F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text")))
     classes = staged(near_copies(keyed, key, text_column, words_per_shingle, similarity), "simhash-classes")
     dropped = classes.where("doc_id != component_id").select(F.col("doc_id").alias(key)).distinct()
+    again = classes.where("doc_id <=> component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key)
     kept = keyed.join(dropped, key, "left_anti")
-    again = classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count().where("count > 1").select(key)
     if not again.isEmpty():
-        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+        row = F.struct(*[F.col(f"`{c}`") for c in keyed.columns])
+        one = kept.join(again, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+        kept = kept.join(again, key, "left_anti").unionByName(one)
     return kept.drop(key)
 
 

@@ -121,9 +121,9 @@ def test_links_are_exactly_of_the_similarity(spark, monkeypatch, nearest):
     assert 10 < len(linked) < 50 and sum(got[i] == want[i] for i in linked) >= 0.9 * len(linked)
 
 
-@pytest.mark.parametrize("most", [1 << 17, 64])
-def test_dense_nodes_lose_no_links(spark, monkeypatch, most):
-    monkeypatch.setattr(simhash, "DENSE", 2)
+@pytest.mark.parametrize("most", [1 << 17, 32])
+def test_large_groups_lose_no_links(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", most)
     monkeypatch.setattr(simhash, "SUBTREE_MOST", most)
     rng = random.Random(4)
     words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
@@ -133,6 +133,27 @@ def test_dense_nodes_lose_no_links(spark, monkeypatch, most):
     assert {r.component_id for r in simhash.near_copies(docs).collect()} == {0}
 
 
+def test_many_near_copies_of_one_text(spark):
+    """5,000 texts of one template: their groups by exact similarity are found, and nothing else joins."""
+    rng, words = random.Random(11), [f"w{i}" for i in range(5000)]
+    base, rows = rng.choices(words, k=120), []
+    for i in range(5000):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 8])):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        rows.append((i, " ".join(copy)))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()}
+    sets = {i: set(simhash._shingle_hashes(t, 5).tolist()) for i, t in rows}
+    core = {i for i, s in sets.items() if len(s & sets[0]) / len(s | sets[0]) >= 0.8}
+    root = max(set(got.values()), key=list(got.values()).count)
+    inside = [i for i in got if got[i] == root]
+    assert len(got) == 5000 and len(inside) > 2500
+    # texts outside have no partner inside, but for the share that bits miss
+    outside, some = [i for i in got if got[i] != root], rng.sample(inside, 400)
+    missed = [i for i in outside if any(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 for j in some)]
+    assert len(missed) <= 0.02 * len(inside) and core
+
+
 def test_one_of_each_keeps_one_row_of_each_group(spark):
     rows, family = copies()
     rows += [(0, rows[0][1]), (500, rows[0][1]), (None, rows[7][1]), (None, None), (None, None), (600, ""), (7, "another text under an id that is taken " * 9)]
