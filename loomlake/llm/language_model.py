@@ -1,14 +1,14 @@
-"""Language-model scores by deleted interpolation.
+"""Language-model scores by deleted interpolation of words, word pairs and word triples.
 
-P(word | history) mixes the maximum-likelihood estimate count(history, word) / count(history) with the unigram
-estimate. Histories are classed by HISTORY_BITS bits of the hash of the word before, so that their totals are a fixed size; counts
-of words and of (history, word) pairs come from all training documents. The mixing weight depends on the
-history's frequency (a bucket for each power of two) and is learned by expectation-maximisation on counts
-from which the token itself is deleted.
+P(word | two words before) mixes the maximum-likelihood estimates count(triple) / count(pair before) and
+count(pair) / count(word before) with a smoothed unigram estimate. All counts are of all training documents. The
+mixing weights depend on how often the context was seen (a bucket for each power of two) and are learned by
+expectation-maximisation on counts from which the token itself is deleted.
 
-Tokens move once, grouped by the predicted word, so that a group has the word's count and all its pairs'
-counts without a join. Words with over a HOT-th of all tokens (at most HOT) have known counts and are
-spread by pair; pairs as frequent as that (again at most HOT) are scored where they are read and don't move.
+Every word, pair and triple is a 62-bit hash that carries its order. Documents are read in chunks of about CHUNK tokens; a chunk
+sends each of its distinct hashes once, with its training count, to the task that adds up a range of hashes, and gets the sums
+back in the same order. So a word with a third of all tokens is one number of each chunk. The chunk's tokens then
+have their counts side by side, of which weights and scores are narrow maps.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -26,34 +25,29 @@ from pyspark.sql import functions as F
 
 from loomlake.llm.common import doc_crc, read, staged
 
-HISTORY_BITS, HOT = 18, 10_000
+ORDERS = 3
 #: Added to each unigram count.
 ADDED = 0.1
-#: Tokens handled at once where they are read, and of a group, about.
-CHUNK, GROUP_TOKENS = 1_000_000, 1_000_000
-#: Steps of the estimates' ratio to a doubling, in the histogram that the weights are learned from; rounds of learning.
-STEPS, ROUNDS = 8, 200
+#: Tokens of a chunk, about (a longer document is one chunk), and bytes of text whose hashes one task adds up, about.
+CHUNK, RANGE_BYTES = 1_000_000, 4 << 20
+#: Cells to a doubling of an estimate's ratio, in the histogram that the weights are learned from; rounds of learning.
+STEPS, ROUNDS = 2, 200
+#: Least weight of the unigrams, so that no probability is zero.
+LEAST = 1e-6
+#: Buckets of contexts: by the count of the pair before; if there is none, LOWER + by the count of the word before.
+LOWER, BUCKETS = 64, 128
+#: Place of a ratio of one in the histogram; 0 stands for a ratio of zero.
+MIDDLE = 1 << 9
 _END = xxhash.xxh64_intdigest(b" end ")
 _MEMO: dict[bytes, int] = {}
-_SHIFT = np.uint64(64 - HISTORY_BITS)
-
-
-@dataclass
-class Chunk:
-    """Tokens of some documents."""
-
-    doc_ids: list
-    uids: np.ndarray
-    train: np.ndarray
-    word: np.ndarray
-    history: np.ndarray
-    doc: np.ndarray
+MEMO_WORDS = 400_000
 
 
 def _hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the text's words and the end."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     get, out = _MEMO.get, []
-    if len(_MEMO) > 400_000:
+    if len(_MEMO) > MEMO_WORDS:
         _MEMO.clear()
     for w in words:
         h = get(w)
@@ -64,270 +58,250 @@ def _hashes(text: str | None) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+@dataclass
+class Chunk:
+    """Some whole documents."""
+
+    number: int
+    ids: pa.Array
+    train: np.ndarray
+    sizes: np.ndarray
+    word: np.ndarray
+
+
 def _chunks(batches):
-    """batches: doc_id, text, train. A document's history begins with the end token."""
-    ids, uids, train, words, size = [], [], [], [], 0
+    """batches: doc_id, text, train. Numbers follow the task and the order of its rows."""
+    ids, train, words, size, number = [], [], [], 0, TaskContext.get().partitionId() << 32
 
     def chunk() -> Chunk:
-        lengths = [len(w) for w in words]
-        word = np.concatenate(words)
-        before = np.concatenate(([np.uint64(_END)], word[:-1]))
-        return Chunk(list(ids), np.array(uids, np.uint64).view(np.int64), np.array(train, bool), word, (before >> _SHIFT).astype(np.int32), np.repeat(np.arange(len(ids), dtype=np.int32), lengths))
+        return Chunk(number, pa.concat_arrays(ids), np.array(train, bool), np.array([len(w) for w in words], np.int64), np.concatenate(words))
 
     for batch in batches:
-        for key, x, t in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            text = x.as_py() or ""
-            ids.append(key)
-            uids.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))
+        begin = 0
+        for at, (x, t) in enumerate(zip(batch.column(1), batch.column(2).to_pylist(), strict=True)):
             train.append(t)
-            words.append(_hashes(text))
+            words.append(_hashes(x.as_py()))
             size += len(words[-1])
-            if size >= CHUNK or len(ids) >= 32_000:
-                full = chunk()
-                ids, uids, train, words, size = [], [], [], [], 0
-                yield full
-    if ids:
+            if size >= CHUNK:
+                ids.append(batch.column(0).slice(begin, at + 1 - begin))
+                yield chunk()
+                ids, train, words, size, number, begin = [], [], [], 0, number + 1, at + 1
+        if begin < batch.num_rows:
+            ids.append(batch.column(0).slice(begin))
+    if words:
         yield chunk()
 
 
-@dataclass
-class Counts:
-    """What scoring needs besides the groups: fixed sizes (2 ** HISTORY_BITS, HOT, HOT)."""
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ a >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(32)
+
+
+def _keys(word: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Keys of all tokens' words, then of their pairs, then of their triples; the two low bits are the order. Before a document there are end tokens."""
+    starts = np.cumsum(sizes) - sizes
+    end, keys, gram, before = np.uint64(_END), [], word, word
+    for order in range(1, ORDERS + 1):
+        if order > 1:
+            before = np.concatenate(([end], before[:-1]))
+            before[starts] = end
+            gram = _mixed(before, gram)
+        keys.append(gram & ~np.uint64(3) | np.uint64(order))
+    return np.concatenate(keys)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers as planes of bytes, compressed: high bytes are mostly zero."""
+    return pa.compress(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
 
-    tokens: int
-    types: int
-    groups: int
-    totals: np.ndarray  # of each history class
-    hot: np.ndarray  # words, sorted
-    hot_counts: np.ndarray
-    pairs: np.ndarray = None  # keys of hot pairs, sorted
-    pair_counts: np.ndarray = None
-    weights: np.ndarray = None  # by bucket
 
-    def find_hot(self, word: np.ndarray) -> np.ndarray:
-        """Place in ``hot``, -1 if not hot."""
-        at = np.minimum(np.searchsorted(self.hot, word), max(len(self.hot) - 1, 0))
-        return np.where(self.hot[at] == word, at, -1) if len(self.hot) else np.full(len(word), -1)
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").ravel()
 
-    def group(self, word: np.ndarray, history: np.ndarray, hot: np.ndarray) -> np.ndarray:
-        mixed = np.where(hot >= 0, (word ^ history.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15), word)
-        return ((mixed >> np.uint64(8)) % np.uint64(self.groups)).astype(np.int32)
 
-    def unigram(self, count: np.ndarray) -> np.ndarray:
-        return (count + ADDED) / (self.tokens + ADDED * (self.types + 1))
+def _sorted_packed(x: np.ndarray) -> bytes:
+    """Ascending unsigned numbers by their differences."""
+    return _packed(np.diff(x, prepend=np.uint64(0)).view(np.int64))
 
-    def logs(self, count: np.ndarray, pair: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the unigram and of the mixed probability."""
-        total, base = self.totals[history], self.unigram(count)
-        weight = self.weights[_bucket(total)]
-        return np.log10(base), np.log10(weight * pair / np.maximum(total, 1) + (1 - weight) * base)
 
+def _sorted_unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, n).view(np.uint64), dtype=np.uint64)
 
-def _bucket(total: np.ndarray) -> np.ndarray:
-    """0 for none, else 1 + floor(log2)."""
-    return np.frexp(total.astype(float))[1]
 
+def counted(tokens: DataFrame) -> DataFrame:
+    """A written row for each chunk: doc_ids, train, sizes; counts, its tokens' training counts as words, pairs and triples; types, of which the sum over all rows is the number of distinct training tokens.
 
-def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
-    """Where one of the keys begins to differ."""
-    new = np.ones(len(sorted_keys[0]), bool)
-    new[1:] = np.any([np.diff(k) != 0 for k in sorted_keys], axis=0)
-    return np.flatnonzero(new)
+    ``tokens`` (doc_id, text, train) is read twice. Chunks are known by their place in it, so its rows must come in the same
+    order again, as rows read from files do; a chunk whose hashes don't agree fails.
+    """
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    size = tokens.agg(F.sum(F.length("text"))).first()[0] or 0
+    ranges = max(1, math.ceil(size / RANGE_BYTES))
 
+    def ask(batches):
+        for chunk in _chunks(batches):
+            key, n = np.unique(_keys(chunk.word, chunk.sizes), return_inverse=True)
+            n = np.bincount(n, np.tile(np.repeat(chunk.train, chunk.sizes), ORDERS), len(key)).astype(np.int64)
+            of = ((key >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            cuts = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+            parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of[cuts[:-1]]), pa.array(np.full(len(parts), chunk.number)), pa.array(np.diff(cuts)), pa.array([_sorted_packed(key[p]) for p in parts], pa.binary()), pa.array([_packed(n[p]) for p in parts], pa.binary())],
+                ["of", "chunk", "n", "keys", "counts"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_numpy()
+        keys = [_sorted_unpacked(x.as_py(), n) for x, n in zip(table.column("keys"), sizes, strict=True)]
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
+        total = np.bincount(at, np.concatenate([_unpacked(x.as_py(), n) for x, n in zip(table.column("counts"), sizes, strict=True)]), len(key)).astype(np.int64)
+        types = np.zeros(len(sizes), np.int64)
+        types[0] = ((key & np.uint64(3) == 1) & (total > 0)).sum()
+        ends = np.cumsum(sizes)
+        counts = [_packed(total[at[e - n : e]]) for e, n in zip(ends, sizes, strict=True)]
+        return pa.table([table.column("chunk"), table.column("of"), table.column("n"), pa.array(counts, pa.binary()), pa.array(types)], names=["chunk", "of", "n", "counts", "types"])
+
+    def home(batches):
+        """Documents and tokens of each chunk: words by their place in the chunk's own list, most frequent first."""
+        for chunk in _chunks(batches):
+            word, at, n = np.unique(chunk.word, return_inverse=True, return_counts=True)
+            rank = np.empty(len(word), np.int64)
+            rank[np.argsort(-n, kind="stable")] = np.arange(len(word))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk.number]), pa.array([-1]), pa.array([len(word)]), pa.array([_sorted_packed(word)], pa.binary()), pa.array([_packed(rank)], pa.binary()), pa.array([_packed(rank[at])], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(chunk.ids)], pa.int32()), chunk.ids), pa.array([chunk.train.tolist()], pa.list_(pa.bool_())), pa.array([chunk.sizes], pa.list_(pa.int64()))],
+                ["chunk", "of", "n", "words", "ranks", "tokens", "doc_ids", "train", "sizes"])
+
+    def gathered(table: pa.Table) -> pa.Table:
+        table = table.sort_by("of")
+        own, parts = table.slice(0, 1), table.slice(1)
+        sizes, n = own.column("sizes")[0].values.to_numpy(), own.column("n")[0].as_py()
+        word = np.empty(n, np.uint64)
+        word[_unpacked(own.column("ranks")[0].as_py(), n)] = _sorted_unpacked(own.column("words")[0].as_py(), n)
+        word = word[_unpacked(own.column("tokens")[0].as_py(), int(sizes.sum()))]
+        key, at = np.unique(_keys(word, sizes), return_inverse=True)
+        sums = np.concatenate([_unpacked(x.as_py(), m) for x, m in zip(parts.column("counts"), parts.column("n").to_pylist(), strict=True)])
+        if own.column("of")[0].as_py() != -1 or len(sums) != len(key):
+            raise RuntimeError("the documents came in another order when they were read again")
+        counts = pa.array([_packed(x) for x in np.split(sums[at], ORDERS)], pa.binary())
+        return pa.table([own.column("doc_ids"), own.column("train"), own.column("sizes"), pa.ListArray.from_arrays(pa.array([0, ORDERS], pa.int32()), counts), pa.array([sum(parts.column("types").to_pylist())], pa.int64())], names=["doc_ids", "train", "sizes", "counts", "types"])
+
+    asked = tokens.mapInArrow(ask, "of bigint, chunk bigint, n bigint, keys binary, counts binary")
+    # written, so that the questions' shuffle is gone before the answers' begins
+    answers = staged(asked.groupBy("of").applyInArrow(answer, "chunk bigint, of bigint, n bigint, counts binary, types bigint"), "lm-answers")
+    homes = tokens.mapInArrow(home, f"chunk bigint, of bigint, n bigint, words binary, ranks binary, tokens binary, doc_ids array<{kind}>, train array<boolean>, sizes array<bigint>")
+    both = homes.unionByName(answers, allowMissingColumns=True)
+    return staged(both.groupBy("chunk").applyInArrow(gathered, f"doc_ids array<{kind}>, train array<boolean>, sizes array<bigint>, counts array<binary>, types bigint"), "lm-counts")
 
-def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
+@dataclass
+class Model:
+    """A fixed size, whatever the corpus: the counts are with the tokens."""
 
-def _history_lists(history: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """Binary of three bytes a history."""
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((3 * offsets).astype(np.int32)), pa.py_buffer(_history_bytes(history))])
+    tokens: int
+    types: int
+    documents: int
+    weights: np.ndarray | None = None  # bucket, order
 
+    def unigram(self, count: np.ndarray, deleted: int = 0) -> np.ndarray:
+        return (count - deleted + ADDED) / (self.tokens - deleted + ADDED * (self.types + 1))
 
-def _by_group(at: np.ndarray, group: np.ndarray, word: np.ndarray):
-    """Of sorted ``at``: the groups, their offsets in ``at``, the words of each group in turn, their offsets in ``at``, and the groups' offsets in the words."""
-    group, word = group[at], word[at]
-    start, run = _starts(group), _starts(group, word)
-    return group[start], np.append(start, len(at)), word[run].view(np.int64), np.append(run, len(at)), np.append(np.searchsorted(run, start), len(run))
+    def contexts(self, counts: list[np.ndarray], sizes: np.ndarray) -> list[np.ndarray]:
+        """How often the word before and the pair before were seen: their counts at the token before; before a document, the number of documents."""
+        starts = np.cumsum(sizes) - sizes
+        before = [np.concatenate(([0], c[:-1])) for c in counts[:-1]]
+        for x in before:
+            x[starts] = self.documents
+        return before
 
+    def mixed(self, counts: list[np.ndarray], before: list[np.ndarray]) -> np.ndarray:
+        weight = self.weights[bucket(before)]
+        return sum(weight[:, k] * counts[k] / np.maximum(before[k - 1], 1) for k in range(1, ORDERS)) + weight[:, 0] * self.unigram(counts[0])
 
-def _history_bytes(history: np.ndarray) -> bytes:
-    return history.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
+def bucket(before: list[np.ndarray]) -> np.ndarray:
+    """1 + floor(log2) of the pair's count; LOWER + that of the word's count (0: none) if the pair wasn't seen."""
+    word, pair = (np.frexp(x.astype(float))[1] for x in before)
+    return np.where(pair > 0, pair, LOWER + word)
 
-def _history_array(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 3, 4), np.uint8)
-    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
-    return out.view("<i4").ravel()
 
+def _rows(batches):
+    """(doc_ids, train, sizes, counts by order) of each chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids, train, sizes, counts = (batch.column(c)[i].values for c in range(4))
+            sizes = sizes.to_numpy()
+            yield ids, train.to_numpy(zero_copy_only=False).astype(bool), sizes, [_unpacked(x.as_py(), int(sizes.sum())) for x in counts]
 
-def count_words(tokens: DataFrame) -> DataFrame:
-    """(word long, n long) of the training tokens; ``tokens`` has doc_id, text, train."""
 
-    def run(batches):
-        for chunk in _chunks(batches):
-            word, n = np.unique(chunk.word[chunk.train[chunk.doc]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
-
-    return tokens.where("train").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def gather(tokens: DataFrame) -> Counts:
-    """Count words, then pairs; learn the weights."""
-    spark = tokens.sparkSession
-    words = staged(count_words(tokens), "lm-words")
-    row = words.agg(F.sum("n"), F.count("*")).first()
-    n, types = int(row[0] or 0), int(row[1])
-    hot = words.where(F.col("n") * HOT >= max(n, 1)).toPandas() if n else pd.DataFrame({"word": [], "n": []})
-    hot_word = hot["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot_word)
-    by_class = words.groupBy(F.shiftrightunsigned("word", int(_SHIFT)).alias("c")).agg(F.sum("n").alias("n")).toPandas()
-    totals = np.zeros(1 << HISTORY_BITS, np.int64)
-    totals[by_class["c"].to_numpy(np.int64)] = by_class["n"].to_numpy(np.int64)
-    counts = Counts(n, types, max(1, math.ceil(n / GROUP_TOKENS)), totals, hot_word[order], hot["n"].to_numpy(np.int64)[order])
-    shared = spark.sparkContext.broadcast(counts)
-
-    def pairs(batches):
-        own = shared.value
-        for chunk in _chunks(batches):
-            hot = own.find_hot(chunk.word)
-            keep = chunk.train[chunk.doc]
-            group = own.group(chunk.word, chunk.history, hot)
-            at = np.flatnonzero(keep)
-            at = at[np.lexsort((chunk.history[at], chunk.word[at], group[at]))]
-            first = _starts(group[at], chunk.word[at], chunk.history[at])
-            times, at = np.diff(first, append=len(at)).astype(np.int32), at[first]
-            groups, pairs_to, word, runs_to, words_to = _by_group(at, group, chunk.word)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(groups, pa.int32()), _lists(word, words_to), _lists(np.diff(runs_to).astype(np.int32), words_to), _history_lists(chunk.history[at], pairs_to), _lists(times, pairs_to)],
-                ["p", "words", "runs", "histories", "times"])
-
-    def deleted(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = shared.value
-        words, at = np.unique(np.concatenate(pdf["words"].to_list()).view(np.uint64), return_inverse=True)
-        of = np.repeat(at, np.concatenate(pdf["runs"].to_list()))
-        key, place = np.unique(of.astype(np.int64) << HISTORY_BITS | np.concatenate([_history_array(x) for x in pdf["histories"]]), return_inverse=True)
-        pair = np.bincount(place, np.concatenate(pdf["times"].to_list())).astype(np.int64)
-        history, word = (key & ((1 << HISTORY_BITS) - 1)), key >> HISTORY_BITS
-        hot = own.find_hot(words)
-        count = np.where(hot >= 0, own.hot_counts[hot] if len(own.hot) else 0, np.bincount(word, pair, len(words)).astype(np.int64))
-        total = own.totals[history]
-        ratio = (pair - 1) / np.maximum(total - 1, 1) / ((count[word] - 1 + ADDED) / (own.tokens - 1 + ADDED * (own.types + 1)))
-        step = np.where(pair > 1, np.rint(np.log2(np.maximum(ratio, 1e-300)) * STEPS), -(1 << 20)).astype(np.int64)
-        cell, where = np.unique(_bucket(total - 1).astype(np.int64) << 32 | (step + (1 << 24)), return_inverse=True)
-        weight = np.bincount(where, pair)
-        often = pair * HOT >= own.tokens
-        return pd.DataFrame({
-            "kind": np.repeat([0, 1], [len(cell), often.sum()]).astype(np.int32), "a": np.concatenate((cell, words[word[often]].view(np.int64))),
-            "b": np.concatenate((np.zeros(len(cell), np.int64), history[often])), "n": np.concatenate((weight.astype(np.int64), pair[often]))})
-
-    found = tokens.where("train").mapInArrow(pairs, "p int, words array<bigint>, runs array<int>, histories binary, times array<int>").groupBy("p").applyInPandas(deleted, "kind int, a bigint, b bigint, n bigint")
-    # a row a cell of the histogram (buckets times steps) and a row a hot pair (at most HOT)
-    found = found.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).toPandas()
-    cells = found[found["kind"] == 0]
-    counts.weights = learn(cells["a"].to_numpy(np.int64), cells["n"].to_numpy(float))
-    often = found[found["kind"] == 1]
-    key = own_key(counts, often["a"].to_numpy(np.int64).view(np.uint64), often["b"].to_numpy(np.int64))
-    order = np.argsort(key)
-    counts.pairs, counts.pair_counts = key[order], often["n"].to_numpy(np.int64)[order]
-    return counts
-
-
-def own_key(counts: Counts, word: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """Number of a (hot word, history) pair; negative if the word isn't hot."""
-    return counts.find_hot(word).astype(np.int64) << HISTORY_BITS | history
-
-
-def learn(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Weight of the pair estimate in each bucket by expectation-maximisation; buckets without tokens take the bucket's below."""
-    bucket, ratio = cells >> 32, np.exp2(((cells & 0xFFFFFFFF) - (1 << 24)) / STEPS)
-    weights = np.zeros(66)
-    for b in range(1, 66):
-        own = bucket == b
-        weight = 0.5 if own.any() else weights[b - 1]
-        for _ in range(ROUNDS if own.any() else 0):
-            part = weight * ratio[own]
-            weight = float((n[own] * part / (part + 1 - weight)).sum() / n[own].sum())
-            weight = min(max(weight, 1e-6), 1 - 1e-6)
-        weights[b] = weight
+def gather(counts: DataFrame) -> Model:
+    """Totals of ``counted``'s rows, and the weights learned from a histogram of all training tokens.
+
+    A cell is a bucket and the two deleted estimates' ratios to the deleted unigram estimate, in half-doublings; it has
+    its tokens and their mean ratios, which the weights are learned from. Cells are at most BUCKETS times the
+    square of the doublings that counts allow, and thousands in practice.
+    """
+    documents = F.size(F.filter("train", lambda x: x))
+    tokens = F.aggregate(F.arrays_zip("train", "sizes"), F.lit(0).cast("long"), lambda n, x: n + F.when(x["train"], x["sizes"]).otherwise(F.lit(0).cast("long")))
+    row = counts.agg(F.sum(tokens), F.sum("types"), F.sum(documents)).first()
+    model = Model(int(row[0] or 0), int(row[1] or 0), int(row[2] or 0))
+
+    def cells(batches):
+        for _, train, sizes, own in _rows(batches):
+            keep = np.repeat(train, sizes)
+            before = [x[keep] - 1 for x in model.contexts(own, sizes)]
+            own = [x[keep] for x in own]
+            base = model.unigram(own[0], 1)
+            ratios = [(own[k] - 1) / np.maximum(before[k - 1], 1) / base for k in range(1, ORDERS)]
+            cell = bucket(before).astype(np.int64)
+            for r in ratios:
+                step = np.where(r > 0, MIDDLE + np.rint(np.log2(np.maximum(r, 1e-300)) * STEPS), 0).astype(np.int64)
+                cell = cell << 10 | step
+            cell, at = np.unique(cell, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.bincount(at, minlength=len(cell))), *[pa.array(np.bincount(at, r, len(cell))) for r in ratios]], ["cell", "n", "r2", "r3"])
+
+    columns = ("doc_ids", "train", "sizes", "counts")
+    found = counts.select(*columns).mapInArrow(cells, "cell bigint, n bigint, r2 double, r3 double").groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "r2", "r3")]).toPandas().sort_values("cell")
+    n = found["n"].to_numpy(float)
+    model.weights = learn(found["cell"].to_numpy(np.int64) >> 20, n, np.stack([np.ones(len(n)), found["r2"] / n, found["r3"] / n], axis=1) if len(n) else np.ones((0, ORDERS)))
+    return model
+
+
+def learn(of: np.ndarray, n: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """Weights by bucket of cells of ``n`` tokens, by expectation-maximisation; a bucket without tokens takes the one's below, the lowest of each kind the unigrams alone."""
+    weights = np.full((BUCKETS, ORDERS), 1.0 / ORDERS)
+    total = np.bincount(of, n, BUCKETS)
+    for _ in range(ROUNDS):
+        part = weights[of] * ratios
+        part *= (n / part.sum(1))[:, None] if len(n) else 1.0
+        sums = np.stack([np.bincount(of, part[:, k], BUCKETS) for k in range(ORDERS)], axis=1)
+        weights = np.where(total[:, None] > 0, sums / np.maximum(total, 1)[:, None], weights)
+    for b in range(BUCKETS):
+        if b in (0, LOWER):
+            weights[b] = np.eye(ORDERS)[0]
+        elif total[b] == 0:
+            weights[b] = weights[b - 1]
+        else:
+            weights[b, 0] = max(weights[b, 0], LEAST)
+            weights[b] /= weights[b].sum()
     return weights
 
 
-def score(tokens: DataFrame, counts: Counts) -> DataFrame:
-    """(doc_id, train, n_tokens, n_known, base_score, score): a row for each row of ``tokens``.
+def score(counts: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, train, n_tokens, n_known, base_score, score) of each document in ``counted``'s rows: a narrow map."""
+    kind = counts.schema["doc_ids"].dataType.elementType.simpleString()
 
-    Tokens go to their word's group and the answers come back to their chunk, which is known by its place in ``tokens``: so
-    these must come in the same order when a task is run again, as rows read from files do.
-    """
-    shared = tokens.sparkSession.sparkContext.broadcast(counts)
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-    def slices(batches):
-        own, task = shared.value, TaskContext.get().partitionId()
-        for number, chunk in enumerate(_chunks(batches)):
-            hot = own.find_hot(chunk.word)
-            key = hot.astype(np.int64) << HISTORY_BITS | chunk.history
-            at = np.minimum(np.searchsorted(own.pairs, key), max(len(own.pairs) - 1, 0))
-            here = (own.pairs[at] == key) & (hot >= 0) if len(own.pairs) else np.zeros(len(key), bool)
-            base, mixed = own.logs(own.hot_counts[hot[here]] if len(own.hot) else np.zeros(0), own.pair_counts[at[here]] if len(own.pairs) else np.zeros(0), chunk.history[here])
-            n_docs = len(chunk.doc_ids)
-            sums = [np.bincount(chunk.doc[here], x, n_docs) for x in (None, base, mixed)]
-            group = own.group(chunk.word, chunk.history, hot)
-            at = np.flatnonzero(~here)
-            del key, hot, here, base, mixed
-            at = at[np.lexsort((chunk.word[at], group[at]))]
-            groups, tokens_to, word, runs_to, words_to = _by_group(at, group, chunk.word)
-            # documents of the chunk by number, training documents as -1 - number
-            doc = chunk.doc[at]
-            doc = np.where(chunk.train[doc], -1 - doc, doc).astype(np.int16)
-            # the last row has the documents and what was scored here
-            more, none = lambda to: np.append(to, to[-1]), np.append(np.zeros(len(groups) + 1, np.int64), n_docs)
-            size = np.bincount(chunk.doc, minlength=n_docs).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(groups, int(chunk.uids[0]) % own.groups), pa.int32()), pa.array(np.full(len(groups) + 1, task << 32 | number)),
-                 _lists(word, more(words_to)), _lists(np.diff(runs_to).astype(np.int32), more(words_to)), _history_lists(chunk.history[at], more(tokens_to)), _lists(doc, more(tokens_to)),
-                 pa.ListArray.from_arrays(pa.array(none, pa.int32()), pa.array(chunk.doc_ids, id_type)), _lists(chunk.train, none), _lists(size, none), *[_lists(np.asarray(x, float), none) for x in sums]],
-                ["p", "chunk", "words", "runs", "histories", "docs", *home_names])
-
-    home_names = ["doc_ids", "train", "size", "n", "base", "mixed"]
-    home = f"doc_ids array<{kind}>, train array<boolean>, size array<bigint>, n array<double>, base array<double>, mixed array<double>"
-
-    def scored(pdf: pd.DataFrame) -> pd.DataFrame:
-        """For each row its runs' counts and its tokens' log10 probabilities, in the row's order."""
-        own = shared.value
-        out = pdf[["chunk", "runs", "docs", *home_names]].copy()
-        run_words = pdf["words"].map(len).to_numpy()
-        words, at = np.unique(np.concatenate(pdf["words"].to_list()).astype(np.int64).view(np.uint64), return_inverse=True)
-        of = np.repeat(at, np.concatenate(pdf["runs"].to_list()).astype(np.int64))
-        history = np.concatenate([_history_array(x) for x in pdf["histories"]])
-        trained = np.concatenate(pdf["docs"].to_list()) < 0
-        _, place = np.unique(of << HISTORY_BITS | history, return_inverse=True)
-        pair = np.bincount(place, trained)[place] if len(place) else np.zeros(0)
-        del place
-        hot = own.find_hot(words)
-        count = np.where(hot >= 0, own.hot_counts[hot] if len(own.hot) else 0, np.bincount(of, trained, len(words))).astype(np.int64)
-        _, probability = own.logs(count[of], pair, history)
-        tokens = np.cumsum(pdf["docs"].map(len).to_numpy())[:-1]
-        out["counts"] = pd.Series(np.split(count[at], np.cumsum(run_words)[:-1]), index=out.index)
-        out["logs"] = pd.Series(np.split(probability.astype(np.float32), tokens), index=out.index)
-        return out[["chunk", "runs", "docs", "counts", "logs", *home_names]]
-
-    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
-        """All rows of a chunk (CHUNK tokens or one document) to a row a document."""
-        own, first = shared.value, pdf[pdf["doc_ids"].map(len) > 0].iloc[0]
-        count = np.repeat(np.concatenate(pdf["counts"].to_list()), np.concatenate(pdf["runs"].to_list()).astype(np.int64))
-        doc = np.concatenate(pdf["docs"].to_list()).astype(np.int64)
-        doc, n = np.where(doc < 0, -1 - doc, doc), len(first["doc_ids"])
-        known = first["n"] + np.bincount(doc, count > 0, n)
-        base = first["base"] + np.bincount(doc, np.log10(own.unigram(count)), n)
-        mixed = first["mixed"] + np.bincount(doc, np.concatenate(pdf["logs"].to_list()).astype(float), n)
-        ids = pd.array(first["doc_ids"], dtype="Int64" if kind in ("bigint", "int") else "string")
-        return pd.DataFrame({"doc_id": ids, "train": first["train"], "n_tokens": first["size"], "n_known": known.astype(np.int64), "base_score": base, "score": mixed})
-
-    moved = tokens.mapInArrow(slices, f"p int, chunk bigint, words array<bigint>, runs array<int>, histories binary, docs array<smallint>, {home}")
-    parts = moved.groupBy("p").applyInPandas(scored, f"chunk bigint, runs array<int>, docs array<smallint>, counts array<bigint>, logs array<float>, {home}")
-    return parts.groupBy("chunk").applyInPandas(summed, f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    def run(batches):
+        for ids, train, sizes, own in _rows(batches):
+            starts = np.cumsum(sizes) - sizes
+            base = np.log10(model.unigram(own[0]))
+            mixed = np.log10(model.mixed(own, model.contexts(own, sizes)))
+            known, base, mixed = (np.add.reduceat(x, starts) for x in ((own[0] > 0).astype(np.int64), base, mixed))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(train), pa.array(sizes), pa.array(known), pa.array(base), pa.array(mixed)], ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
+
+    return counts.select("doc_ids", "train", "sizes", "counts").mapInArrow(run, f"doc_id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -335,13 +309,15 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Learns from rows whose CRC-32 of the id as text is not 0 modulo 10 (null: the empty text's). Tokens: A-Z lower-cased words
     between ASCII white space, then one end token; null and empty texts have the end token alone. base_score: log10 probability
-    by the unigrams; score: by the mixed model. Equal rows each give a row; other columns are not read. Words are
-    known by 64-bit hashes. ``docs`` is to be read from files (see ``score``).
+    by the unigrams; score: by the mixed model. Ids are of any type; equal rows each give a row and count each; other columns are not
+    read; an empty table gives no rows, and without training rows the unigram estimate is even. A very long text is a chunk of
+    its own, in one task's memory. ``docs`` is to be read from files (see ``counted``).
     """
     crc = F.pmod(doc_crc(F.col(id_column)), F.lit(10))
     tokens = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), (crc != 0).alias("train"))
-    counts = gather(tokens)
-    return score(tokens, counts).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(counts.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    counts = counted(tokens)
+    model = gather(counts)
+    return score(counts, model).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,33 +180,70 @@ def test_language_model_base_and_gain(spark):
     assert language_model.score_documents(docs.limit(0)).collect() == []
 
 
-def test_language_model_is_the_same_in_many_groups(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts(150))], "doc_id bigint, text string")
-    one = {r.doc_id: r.score for r in language_model.score_documents(docs).collect()}
-    monkeypatch.setattr(language_model, "GROUP_TOKENS", 200)
-    many = {r.doc_id: r.score for r in language_model.score_documents(docs).collect()}
-    assert one.keys() == many.keys() and all(math.isclose(one[k], many[k], rel_tol=1e-6) for k in one)
-
-
-def test_weights_are_learned_from_all_types(spark):
-    rows = list(enumerate(texts(200)))
-    docs = spark.createDataFrame([(i, t, i % 10 != 0) for i, t in rows], "doc_id bigint, text string, train boolean")
-    counts = language_model.gather(docs)
-    words, pairs, totals = Counter(), Counter(), Counter()
-    for i, t in rows:
-        if i % 10:
-            w = language_model._hashes(t).tolist()
-            pairs.update(zip([x >> (64 - language_model.HISTORY_BITS) for x in [language_model._END, *w[:-1]]], w, strict=True))
-            words.update(w)
-    for w, c in words.items():
-        totals[w >> (64 - language_model.HISTORY_BITS)] += c
-    n, v, cells = sum(words.values()), len(words), Counter()
-    for (h, w), c in pairs.items():
-        ratio = (c - 1) / max(totals[h] - 1, 1) / ((words[w] - 1 + 0.1) / (n - 1 + 0.1 * (v + 1)))
-        step = round(math.log2(ratio) * language_model.STEPS) if c > 1 else -(1 << 20)
-        cells[math.frexp(totals[h] - 1)[1] << 32 | (step + (1 << 24))] += c
-    want = language_model.learn(np.array(list(cells)), np.array(list(cells.values()), float))
-    assert np.allclose(counts.weights, want, atol=1e-9)
+def brute_scores(rows):
+    """Deleted interpolation in plain Python: {id: log10 probability}."""
+    words = {i: ["<e>", "<e>", *(t or "").lower().split(), "<e>"] for i, t in rows}
+    c = [Counter() for _ in range(3)]
+    before = [Counter() for _ in range(3)]
+    train = [i for i in words if zlib.crc32(str(i).encode()) % 10]
+    for i in train:
+        w = words[i]
+        for k in range(2, len(w)):
+            for n in range(3):
+                c[n][tuple(w[k - n : k + 1])] += 1
+                before[n][tuple(w[k - n : k])] += 1
+    n, v = sum(c[0].values()), len(c[0])
+
+    def estimates(w, k, d):
+        x, y = before[1][w[k - 1],], before[2][w[k - 2], w[k - 1]]
+        own = [c[m][tuple(w[k - m : k + 1])] - d for m in range(3)]
+        at = math.frexp(y - d)[1] if y - d > 0 else 64 + math.frexp(x - d)[1]
+        return at, [(own[0] + 0.1) / (n - d + 0.1 * (v + 1)), own[1] / max(x - d, 1), own[2] / max(y - d, 1)]
+
+    cells = {}
+    for i in train:
+        w = words[i]
+        for k in range(2, len(w)):
+            at, p = estimates(w, k, 1)
+            steps = tuple(round(math.log2(x / p[0]) * language_model.STEPS) if x else None for x in p[1:])
+            own = cells.setdefault((at, *steps), [0, 0.0, 0.0])
+            own[0] += 1
+            own[1] += p[1] / p[0]
+            own[2] += p[2] / p[0]
+    weights = {at: [1 / 3] * 3 for at, *_ in cells}
+    for _ in range(language_model.ROUNDS):
+        sums = {at: [0.0] * 3 for at in weights}
+        for (at, *_), (m, r2, r3) in cells.items():
+            part = [w * r for w, r in zip(weights[at], (1, r2 / m, r3 / m), strict=True)]
+            for k in range(3):
+                sums[at][k] += m * part[k] / sum(part)
+        weights = {at: [x / sum(s) for x in s] for at, s in sums.items()}
+    for at, w in weights.items():
+        w[0] = max(w[0], 1e-6)
+        weights[at] = [x / sum(w) for x in w]
+    for at in range(128):
+        if at in (0, 64):
+            weights[at] = [1, 0, 0]
+        weights.setdefault(at, weights.get(at - 1))
+    out = {}
+    for i, w in words.items():
+        found = [estimates(w, k, 0) for k in range(2, len(w))]
+        out[i] = sum(math.log10(sum(x * y for x, y in zip(weights[at], p, strict=True))) for at, p in found)
+    return out
+
+
+def test_language_model_scores_are_the_mixture(spark, monkeypatch):
+    some = texts(150)
+    rows = [*enumerate(some), (500, None), (501, ""), (502, " ".join(some[3].split()[:9])), (503, some[5]), (None, some[4])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = brute_scores([("" if i is None else i, t) for i, t in rows])
+    for chunk, size in ((1_000_000, 4 << 20), (700, 500)):  # one chunk a task and one range, then many of each
+        monkeypatch.setattr(language_model, "CHUNK", chunk)
+        monkeypatch.setattr(language_model, "RANGE_BYTES", size)
+        got = {"" if r.doc_id is None else r.doc_id: r.score for r in language_model.score_documents(docs).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-6) for k in got)
+    named = spark.createDataFrame([(f"d{i}", t) for i, t in rows[:20]], "doc_id string, text string")
+    assert {r.doc_id for r in language_model.score_documents(named).collect()} == {f"d{i}" for i in range(20)}
 
 
 @pytest.mark.parametrize("n, bits", [(2, 1), (2, 4), (3, 3), (4, 2)])
