@@ -270,23 +270,52 @@ def test_shards(spark):
     assert sorted(r.slot for r in few) == [0, 0, 0]
 
 
-def test_raking_meets_the_targets(spark):
+def test_mixing_equals_plain_fitting(spark, monkeypatch):
     rng = random.Random(3)
-    rows = [(i, "w " * rng.randint(1, 40), rng.choice(["en", "de", None]), rng.choice(["a"] * 6 + ["b", "c"])) for i in range(900)] + [(901, None, None, "a"), (902, "", "en", None)]
-    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, lang string, source string, _tokens int")
+    rows = [(i, " ".join(rng.choices([f"{k}word{j}" for k in "ab"[i % 2] for j in range(30)], k=rng.randint(1, 40))), rng.choice(["en", "de", None]), rng.choice(["a"] * 6 + ["b", "c"])) for i in range(600)]
+    rows += [(901, None, None, "z"), (902, "", "en", None), (rows[5][0], *rows[5][1:])]
+    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, lang string, source string, _tokens int").repartition(3)
     targets = {"source": {"a": 1, "b": 1, "c": 2}, "lang": {"en": 1, "de": 1, "<null>": 0.5}, "topic": None}
-    marked = mixing.marked(docs.drop("_tokens"))
-    cells = marked.groupBy("_source", "_lang", "_topic").agg({"_tokens": "sum"}).toDF("source", "lang", "topic", "tokens")
-    raked = mixing.rake(cells.where("source <> '<null>'"), targets).toPandas()
-    by = raked.groupby("source")["share"].sum()
-    assert np.allclose(by / by.sum(), [0.25, 0.25, 0.5], atol=2e-3)
-    by = raked.groupby("lang")["share"].sum()
-    assert np.allclose(by[["de", "en"]] / by.sum(), [0.4, 0.4], atol=2e-3)
-    kept = mixing.mix(docs, budget=0.5).toPandas().rename(columns={"_tokens": "own", "__tokens": "_tokens"})
-    assert set(kept["own"]) == {5}
-    total = sum(len((t or "").split()) for _, t, *_ in rows)
-    assert abs(kept["_tokens"].sum() / total - 0.5) < 0.08 and 902 in set(kept["doc_id"])
-    assert set(kept["doc_id"]) == set(mixing.mix(docs.repartition(7), budget=0.5).toPandas()["doc_id"])
+    every = mixing.mix(docs, targets, budget=60.0).select("doc_id", "__topic").distinct().toPandas()
+    topic = dict(zip(every["doc_id"], every["__topic"], strict=True))
+    got = mixing.mix(docs, targets, budget=3.0).toPandas()
+    assert set(got["_tokens"]) == {5} and len(set(topic.values())) > 1
+    # plain fitting of the same cells
+    cell, size = {i: (s or "<null>", lang or "<null>", topic.get(i)) for i, t, lang, s in rows}, {}
+    n = {i: len((t or "").split()) for i, t, *_ in rows}
+    for i, *_ in rows:
+        size[cell[i]] = size.get(cell[i], 0) + n[i]
+    assert all(topic.get(i) is not None for i in n if n[i] and cell[i][0] in "abc")
+    def shares(m):
+        own = {}
+        for c, x in size.items():
+            own[c[m]] = own.get(c[m], 0) + x
+        given = [targets["source"], targets["lang"], None][m]
+        weight = {k: ((given.get(k, 0.0) if given else x**0.5) if x else 0.0) for k, x in own.items()}
+        return {k: w / sum(weight.values()) for k, w in weight.items()}
+    share, goal = {c: float(x) for c, x in size.items()}, [shares(m) for m in range(3)]
+    for _ in range(mixing.ROUNDS):
+        for m in range(3):
+            now = {}
+            for c, x in share.items():
+                now[c[m]] = now.get(c[m], 0.0) + x
+            share = {c: x * goal[m][c[m]] / now[c[m]] if now[c[m]] else 0.0 for c, x in share.items()}
+    k = 3.0 * sum(size.values()) / sum(share.values())
+    want = {c: k * share[c] / size[c] if size[c] else 1.0 for c in size}
+    draws = {r[0]: r[1] for r in spark.createDataFrame([(i,) for i in n], "doc_id bigint").selectExpr("doc_id", f"pmod(xxhash64({mixing.SEED}, doc_id), {1 << 53}) / {float(1 << 53)}D").collect()}
+    copies = Counter(got["doc_id"])
+    for i, *_ in rows:
+        times = sum(r[0] == i for r in rows)
+        p = want[cell[i]] if cell[i] in want else 0.0
+        if abs(draws[i] - p % 1) > 1e-3:
+            assert copies[i] == times * (int(p) + (draws[i] < p % 1)), (i, p, draws[i])
+    # the same by joins on the cluster
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", 0)
+    cells = spark.createDataFrame([(*c, x) for c, x in size.items() if c[2]], "source string, lang string, topic string, tokens bigint")
+    far = {tuple(r[:3]): r.share for r in mixing.rake(cells, targets, rounds=3).collect()}
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", 10**6)
+    near = {tuple(r[:3]): r.share for r in mixing.rake(cells, targets, rounds=3).collect()}
+    assert far.keys() == near.keys() and all(math.isclose(far[c], near[c], rel_tol=1e-9, abs_tol=1e-12) for c in far)
     assert mixing.mix(docs.limit(0)).collect() == []
 
 
