@@ -15,11 +15,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from loomlake.llm.common import doc_crc, read
+from loomlake.llm.common import batched, doc_crc, read
 
-#: Buckets of hashed trigrams, centroids a language, labelled rows sampled for k-means (all languages together), languages at most.
-BUCKETS, CENTROIDS, SAMPLE_ROWS, MAX_LANGUAGES = 8192, 4, 2_000, 500
+#: Buckets of hashed trigrams, centroids a language and of all languages about, labelled rows sampled for k-means: of all languages together, and of one at least.
+BUCKETS, CENTROIDS, ALL_CENTROIDS, SAMPLE_ROWS, LEAST_ROWS = 8192, 4, 2_000, 2_000, 8
 #: A text is rejected when its distance exceeds the sample's mean at its length by so many deviations.
 REJECT_DEVIATIONS = 8.0
 #: Least deviation that is used: small samples of very like texts must not reject everything else.
@@ -92,10 +93,12 @@ def _k_means(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lang", key: Column | None = None) -> Model:
     """Learn from rows with a text that has a letter and a label; ``key`` (default: the text) draws the sample.
 
-    Document frequencies are summed in a shuffle over all rows. Each language gives SAMPLE_ROWS / languages
-    sampled rows as expected, all it has if fewer. No labelled rows: a model that answers ``und``.
+    Document frequencies are summed in a shuffle over all rows. Each language gives its SAMPLE_ROWS / languages (LEAST_ROWS at
+    least) rows of the least hashes of the key, all it has if fewer: no language is left out. Rows of one language and key
+    are one. The model has 32 KB a centroid; where there are over ALL_CENTROIDS / CENTROIDS languages, each has fewer. Rows with a null or
+    unlettered text or a null label take no part. No labelled rows: a model that answers ``und``.
     """
-    rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).alias("lang"), (key if key is not None else F.xxhash64(text_column)).alias("key")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = batched(labelled).select(F.col(text_column).alias("text"), F.col(label_column).alias("lang"), (key if key is not None else F.xxhash64(text_column)).alias("key")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
     def frequencies(batches):
         total = np.zeros(BUCKETS + 1, np.int64)
@@ -112,14 +115,17 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
     for r in found:
         df[r["bucket"]] = r["n"]
     weights = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes or not df[-1]:
+    hashed = rows.select("lang", F.xxhash64("key").alias("h"), "text")
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    if not languages or not df[-1]:
         return Model([], weights, np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(32), np.ones(32))
-    languages = sorted(sizes)
-    rate = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, SAMPLE_ROWS / len(languages) / sizes[lang])))])
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < rate[F.col("lang")] * (1 << 30)
+    own = max(LEAST_ROWS, SAMPLE_ROWS // len(languages))
+    lettered = F.col("text").rlike(r"\p{L}")
+    # Spark keeps the first rows of each language before the shuffle
+    drawn = hashed.where(lettered).select("lang", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= own)
+    last = {r["lang"]: r["h"] for r in drawn.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    until = F.create_map(*[x for lang in last for x in (F.lit(lang), F.lit(last[lang]))])[F.col("lang")] if last else F.lit(None).cast("bigint")
+    sampled = hashed.where(lettered & (F.col("h") <= until)).dropDuplicates(["lang", "h"])
 
     def counted(batches):
         for batch in batches:
@@ -127,7 +133,7 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1].astype(np.int32) for p in pairs], pa.list_(pa.int32())), pa.array([p[2][p[1]].astype(np.int32) for p in pairs], pa.list_(pa.int32()))], ["lang", "buckets", "counts"])
 
-    sample = rows.where(drawn).select("text", "lang").mapInArrow(counted, "lang string, buckets array<int>, counts array<int>").toPandas()
+    sample = sampled.select("text", "lang").mapInArrow(counted, "lang string, buckets array<int>, counts array<int>").toPandas()
     sample = sample.iloc[sorted(range(len(sample)), key=lambda i: (sample["lang"][i], list(sample["buckets"][i]), list(sample["counts"][i])))]
     model = Model(languages, weights, np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(32), np.ones(32))
     centroids, owner, classes, distances = [], [], [], []
@@ -140,7 +146,7 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
             vectors[i] = model.vector(counts)
             classes.append(length_class(counts))
         if len(own):
-            centroids.append(_k_means(vectors, CENTROIDS))
+            centroids.append(_k_means(vectors, max(1, min(CENTROIDS, ALL_CENTROIDS // len(languages)))))
             owner += [k] * len(centroids[-1])
             distances.append(1 - (vectors @ centroids[-1].T).max(1))
     if not owner:
@@ -174,7 +180,7 @@ def identify(docs: DataFrame, model: Model, id_columns: tuple[str, ...] = ("doc_
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], [*id_columns, "lang_pred", "score", "rejected"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_columns)
-    return docs.select(*id_columns, F.col(text_column).alias("_text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
+    return batched(docs).select(*id_columns, F.col(text_column).alias("_text")).mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -185,7 +191,7 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     def near(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: not shared.value.predict(x)[2]).astype(bool)
 
-    return docs.where(near(F.col(text_column)))
+    return batched(docs).where(near(F.col(text_column)))
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
