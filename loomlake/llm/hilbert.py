@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomlake.llm.common import read, staged
+from loomlake.operators.edges import text_cells, text_edges
 
 SHARDS = 16
 #: Bits a dimension is quantised to, and the dimensions of the query.
@@ -52,25 +53,22 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    """A column as a number in the same order; strings by their first seven bytes; null: null."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(name), "utf-8"), 1, 7)), 14, "0"), 16, 10).cast("double")
-    return F.col(name).cast("double")
-
-
 def with_hilbert(df: DataFrame, dimensions: list[str], bits: int = BITS, name: str = "hilbert") -> DataFrame:
-    """``df`` with each row's index on the curve over ``dimensions``, quantised at their quantiles over all rows. Null: the lowest cell."""
-    numbers = df.select(*[_ordinal(df, d).alias(f"_{i}") for i, d in enumerate(dimensions)])
-    cuts = numbers.approxQuantile(numbers.columns, [i / (1 << bits) for i in range(1, 1 << bits)], QUANTILE_ERROR)
-    edges = [np.unique(np.array(c, float)) for c in cuts]
+    """``df`` with each row's index on the curve over ``dimensions``, quantised at their quantiles over all rows: numbers at sketches, texts at whole values. Null: the lowest cell."""
+    texts = {d: text_edges(df, d, 1 << bits, lambda counts: staged(counts, "shard-values")) for d in dimensions if isinstance(df.schema[d].dataType, T.StringType)}
+    numbers = [d for d in dimensions if d not in texts]
+    edges = dict(texts)
+    if numbers:
+        own = df.select(*[F.col(f"`{d}`").cast("double").alias(f"_{i}") for i, d in enumerate(numbers)])
+        cuts = own.approxQuantile(own.columns, [i / (1 << bits) for i in range(1, 1 << bits)], QUANTILE_ERROR)
+        edges |= {d: np.unique(np.array(c, float)) for d, c in zip(numbers, cuts, strict=True)}
 
     @F.pandas_udf("bigint")
     def curve(*columns: pd.Series) -> pd.Series:
-        cells = [np.where(np.isnan(c := x.to_numpy(float)), 0, np.searchsorted(e, c, "right")) for x, e in zip(columns, edges, strict=True)]
+        cells = [np.maximum(text_cells(x, edges[d]), 0) if d in texts else np.where(np.isnan(c := x.to_numpy(float)), 0, np.searchsorted(edges[d], c, "right")) for d, x in zip(dimensions, columns, strict=True)]
         return pd.Series(hilbert_index(cells, bits))
 
-    return df.withColumn(name, curve(*[_ordinal(df, d) for d in dimensions]))
+    return df.withColumn(name, curve(*[F.col(f"`{d}`") if d in texts else F.col(f"`{d}`").cast("double") for d in dimensions]))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str, ...] = DIMENSIONS, id_column: str = "doc_id", text_column: str = "text", bits: int = BITS) -> DataFrame:
@@ -101,10 +99,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, dimensions: tuple[str
     for r in range(max(counts, default=-1) + 1):
         starts.append(before)
         before += counts.get(r, 0)
-    rank = F.get(F.array(*[F.lit(x).cast("long") for x in starts or [0]]), F.col("_range")) + F.col("_place")
+    offsets = docs.sparkSession.createDataFrame(list(enumerate(starts)), "_range int, _start bigint")
     small, extra = divmod(total, shards)  # the first ``extra`` shards have one row more
     edge = extra * (small + 1)
-    with_rank = ordered.withColumn("_rank", rank)
+    with_rank = ordered.join(offsets, "_range").withColumn("_rank", F.col("_start") + F.col("_place"))
     late = F.expr(f"(_rank - {edge}) div {max(small, 1)}")
     early = F.expr(f"_rank div {small + 1}")
     found = F.when(F.col("_rank") < edge, early).otherwise(late + extra).cast("int")
