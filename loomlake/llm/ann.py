@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomlake.llm.common import read, staged
+from loomlake.llm.common import batched, read, staged
 
-#: Vectors sampled to fit the centroids, centroids, and the bound in deviations of the estimate.
+#: Vectors sampled to fit the centroids, centroids, and the bound in deviations of the estimate (infinite: everything is reranked, the search is exact).
 SAMPLE_ROWS, CENTROIDS, DEVIATIONS = 4_096, 16, 3.5
+#: Bits that a query's turned coordinates are rounded to, so that the inner product with a code is a sum of counts of common bits.
+QUERY_BITS = 6
 #: Queries that meet all vectors in one pass, and vectors compared with them at once.
 QUERY_BLOCK, VECTOR_BLOCK = 2_048, 1_024
 NEAREST = 10
@@ -58,10 +60,39 @@ class Codebook:
         return near, np.packbits(turned > 0, axis=1), norm, np.abs(turned).sum(1) / math.sqrt(self.dimension)
 
 
-def _nearest_in(batches, book: Codebook, ids: np.ndarray, queries: np.ndarray, k: int):
+def _words(bits: np.ndarray) -> np.ndarray:
+    """Rows of packed bits as 64-bit words."""
+    return np.ascontiguousarray(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))).view(np.uint64)
+
+
+class PackedQueries:
+    """Queries turned and rounded to QUERY_BITS bits, as one packed plane of bits for each bit."""
+
+    def __init__(self, queries: np.ndarray, book: Codebook):
+        turned = queries @ book.rotation
+        self.low = turned.min(axis=1)
+        self.step = np.maximum(turned.max(axis=1) - self.low, 1e-30) / ((1 << QUERY_BITS) - 1)
+        whole = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.int64)
+        self.planes = [_words(np.packbits((whole >> b & 1).astype(np.uint8), axis=1)) for b in range(QUERY_BITS)]
+        self.total = self.low * book.dimension + self.step * whole.sum(axis=1)
+        #: What rounding can change of an inner product with a code of signs, at most.
+        self.slack = self.step / 2 * book.dimension
+
+    def signs_product(self, codes: np.ndarray) -> np.ndarray:
+        """code, query: inner products of the codes' signs with the rounded queries, from counts of common bits."""
+        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
+        common = np.zeros((len(codes), len(self.low)))
+        for b, plane in enumerate(self.planes):
+            for w in range(codes.shape[1]):
+                common += np.bitwise_count(codes[:, w][:, None] & plane[:, w][None]).astype(np.int64) << b
+        # signs are 2 * bit - 1
+        return 2 * (self.low * ones[:, None] + self.step * common) - self.total
+
+
+def _nearest_in(batches, book: Codebook, ids: np.ndarray, queries: np.ndarray, k: int, deviations: float):
     """Yield (query number, vec_id, squared distance) arrays: the k nearest of all batches for each query."""
     d, root = book.dimension, math.sqrt(book.dimension)
-    turned = (queries @ book.rotation).astype(np.float32)
+    packed = PackedQueries(queries, book)
     to_centre = np.maximum(Codebook._squares(queries, book.centroids), 0).T  # centroid, query
     centre_turned = book.centroids @ book.rotation
     best_q, best_id, best_d = np.array([], np.int64), np.array([], np.int64), np.array([])
@@ -75,13 +106,13 @@ def _nearest_in(batches, book: Codebook, ids: np.ndarray, queries: np.ndarray, k
         for at in range(0, len(all_ids), VECTOR_BLOCK):
             part = slice(at, at + VECTOR_BLOCK)
             signs = np.unpackbits(codes[part], axis=1, count=d).astype(np.float32) * 2 - 1
-            own = (signs * centre_turned[near[part]]).sum(1)
-            inner = ((signs @ turned.T) - own[:, None]) / root / fit[part][:, None]
+            own = (signs * centre_turned[near[part]]).sum(1)  # once a vector, not once a pair
+            inner = ((packed.signs_product(_words(codes[part])) - own[:, None]) / root + packed.slack / root) / fit[part][:, None]
             centre = to_centre[near[part]]
-            spread = np.sqrt(np.maximum(1 - fit[part] ** 2, 0)) / fit[part] * DEVIATIONS / math.sqrt(max(d - 1, 1))
+            spread = np.sqrt(np.maximum(1 - fit[part] ** 2, 0)) / fit[part] * min(deviations, 1e9) / math.sqrt(max(d - 1, 1))
             n = norm[part][:, None]
-            lowest = n * n + centre - 2 * n * (inner + spread[:, None] * np.sqrt(centre))
-            i, q = np.nonzero(lowest <= reach * (1 + 1e-5) + 1e-9)
+            lowest = n * n + centre - 2 * n * (inner + spread[:, None] * np.sqrt(centre)) if math.isfinite(deviations) else np.zeros(inner.shape)
+            i, q = np.nonzero(lowest <= reach * (1 + 1e-5) + 1e-9 if math.isfinite(deviations) else lowest == 0)
             i += at
             keep = all_ids[i] != ids[q]
             i, q = i[keep], q[keep]
@@ -124,16 +155,18 @@ def build_index(vectors: DataFrame, id_column: str = "vec_id", column: str = "em
                 ["vec_id", "centroid", "code", "norm", "fit", "embedding"])
 
     kind = rows.schema["embedding"].dataType.simpleString()
-    index = rows.where(F.size("embedding") == length).mapInArrow(encode, f"vec_id bigint, centroid int, code binary, norm double, fit double, embedding {kind}")
+    index = batched(rows).where(F.size("embedding") == length).mapInArrow(encode, f"vec_id bigint, centroid int, code binary, norm double, fit double, embedding {kind}")
     return staged(index, "one-bit-index"), book
 
 
-def search(index: DataFrame, book: Codebook | None, queries: Column, k: int = NEAREST) -> DataFrame:
+def search(index: DataFrame, book: Codebook | None, queries: Column, k: int = NEAREST, deviations: float = DEVIATIONS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of the index, by Euclidean distance, of each indexed row for which ``queries`` holds.
 
     A query's own row is no candidate; fewer candidates than k are all returned; ties go to the smaller id. Of rows
     with one id the query is the one of the smallest vector. Queries meet all rows in blocks of QUERY_BLOCK
     (as expected by their hash), one pass over the index a block; the driver holds one block at a time. Each task keeps k rows a query.
+    A vector is left out only if the error bound of ``deviations`` puts it beyond the k nearest so far: by chance, so recall is measured. An infinite
+    bound reranks every vector: then the result is exact.
     """
     empty = index.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     if book is None:
@@ -149,7 +182,7 @@ def search(index: DataFrame, book: Codebook | None, queries: Column, k: int = NE
 
         def nearest(batches, shared=shared):
             ids, vectors = shared.value
-            for q, i, total in _nearest_in(batches, book, ids, vectors, k):
+            for q, i, total in _nearest_in(batches, book, ids, vectors, k, deviations):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(i), pa.array(np.sqrt(total))], ["query_id", "vec_id", "score"])
 
         part = index.mapInArrow(nearest, "query_id bigint, vec_id bigint, score double")
