@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 LOCAL_CHECKPOINTS = "file:/tmp/checkpoints"
 #: Spark's setting that deletes the shuffle files of an execution at its end.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting for the bytes of an Arrow batch, its default, and what the operators need: a batch of texts is held several times over in both processes.
+BATCH, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,3 +62,11 @@ def ascii_lower(c: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """CRC-32 of the id written as decimal text (null: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def batched(docs: DataFrame) -> DataFrame:
+    """``docs``, to be handed to Python in batches of BATCH_BYTES. Results are lazy and the setting counts when they run, so the session gets it, unless it has another than Spark's default."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH, f"{DEFAULT_BATCH}b").rstrip("bB") == str(DEFAULT_BATCH):
+        conf.set(BATCH, str(BATCH_BYTES))
+    return docs

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import free_prefix, read, staged
+from loomlake.llm.common import batched, free_prefix, read, staged
 
 MARGINS = ("source", "lang", "topic")
 #: Exponent of a marginal's own shares that makes its targets where none are given: 1 keeps the shares, 0 evens them out.
@@ -203,6 +203,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float] | None] | None = No
     tokens (null or empty texts) in cells without any tokens are kept; an empty table gives no rows. Texts are read twice, in narrow
     passes, and don't move. Cells are joined by a broadcast only where Spark's measure of their size allows it.
     """
+    docs = batched(docs)
     p = free_prefix(docs, [*MARGINS, "tokens", "probability", "copy", "seen"])
     names = [F.coalesce(F.col(m).cast("string"), F.lit("<null>")).alias(m) for m in ("source", "lang")]
     centroids = None

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import free_prefix, read, staged
+from loomlake.llm.common import batched, free_prefix, read, staged
 
 SEED = 42
 #: Contract of the query: words of a shingle, bits that linked fingerprints differ in at most.
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "bits"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
+    return batched(docs).select(F.col(id_column).alias("doc_id"), text_column).mapInArrow(run, f"doc_id {kind}, bits bigint")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -305,7 +305,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     counts as the largest. An empty table gives no rows. Other columns are not read.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    texts = batched(docs).select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
     def print_all(batches):
         for batch in batches:

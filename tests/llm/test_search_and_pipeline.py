@@ -35,6 +35,18 @@ def test_search_equals_brute_force(spark, vectors, monkeypatch):
     got = {(r.query_id, r.rank, r.vec_id) for r in ann.search(index, book, F.col("vec_id") % 100 == 0).collect()}
     want = neighbours(vectors, {i for i, _ in vectors if i % 100 == 0})
     assert len(got & want) / len(want) >= 0.99 and len(got) == len(want)
+    exact = {(r.query_id, r.rank, r.vec_id) for r in ann.search(index, book, F.col("vec_id") % 100 == 0, deviations=math.inf).collect()}
+    assert exact == want
+
+
+def test_inner_products_of_packed_bits(vectors):
+    x = np.array([v for i, v in vectors if i < 300])
+    book = ann.Codebook(x)
+    _, code, _, _ = book.encode(x)
+    signs = np.unpackbits(code, axis=1, count=64).astype(float) * 2 - 1
+    packed = ann.PackedQueries(x[:20], book)
+    off = np.abs(packed.signs_product(ann._words(code)) - signs @ (x[:20] @ book.rotation).T)
+    assert (off <= packed.slack + 1e-9).all()
 
 
 def test_search_of_few_and_none(spark):
@@ -70,6 +82,7 @@ def test_urls(spark):
     assert got == sorted(((i, *judge(u, url_filter.CONTRACT_RULES)) for i, u in rows), key=str)
     none = url_filter.filter_urls(pages, url_filter.rule_table(spark, [("x.com", "/", "other")]))
     assert {r.verdict for r in none.collect()} == {"allow"} and none.count() == len(rows)
+    assert url_filter.filter_urls(pages.limit(0), url_filter.rule_table(spark, url_filter.CONTRACT_RULES)).collect() == []
     both = url_filter.rule_table(spark, [("com", "/en/", "allow"), ("com", "/en/", "block")])
     assert {r.verdict for r in url_filter.filter_urls(pages, both).where("rule = 'com/en/'").collect()} == {"block"}
 

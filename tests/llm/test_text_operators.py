@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from loomlake.llm import bpe, hilbert, langid, language_model, minhash, mixing, token_counts
 
@@ -131,6 +132,52 @@ def test_language_is_learned_and_rejected(spark):
     assert langid.identify(odd, empty).first().lang_pred == "und"
 
 
+def plain_trigrams(text):
+    """Counts by bucket of the text's trigrams, in plain Python."""
+    data = [b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in (" " + text.lower() + " ").encode()]
+    out = Counter()
+    for a, b, c in zip(data, data[1:], data[2:], strict=False):
+        if b != 32 or (a != 32 and c != 32):
+            out[(a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % (1 << 32) >> 19] += 1
+    return out
+
+
+def test_language_equals_plain_nearest_centroids(spark):
+    some = texts(60)
+    labelled = [(i, t, ["en", "de", "fr"][i % 3]) for i, t in enumerate(some)] + [(900, "uniek woord hier", "nl"), (901, None, "en"), (902, "1 2", "en"), (903, some[0], None)]
+    model = langid.fit(spark.createDataFrame(labelled, "doc_id bigint, text string, lang string"), key=F.col("doc_id"))
+    used = [(plain_trigrams(t), lang) for _, t, lang in labelled if t and lang and any(map(str.isalpha, t))]
+    weight = [math.log((1 + len(used)) / (1 + sum(b in c for c, _ in used))) + 1 for b in range(langid.BUCKETS)]
+    assert np.allclose(model.weights, weight) and model.languages == ["de", "en", "fr", "nl"] and set(model.owner) == {0, 1, 2, 3}
+
+    def vector(counts):
+        v = np.zeros(langid.BUCKETS)
+        for b, n in counts.items():
+            v[b] = math.log1p(n) * weight[b]
+        return v / np.linalg.norm(v)
+
+    # each centroid is the direction of the sum of its nearest texts of the language
+    for k, lang in enumerate(model.languages):
+        own, centroids = np.array([vector(c) for c, x in used if x == lang]), model.centroids[model.owner == k]
+        at = (own @ centroids.T).argmax(1)
+        for j in range(len(centroids)):
+            mean = own[at == j].sum(0)
+            assert mean @ centroids[j] / np.linalg.norm(mean) > 0.999
+    asked = [*enumerate(texts(40, seed=5)), (100, "uniek woord"), (101, None), (102, ""), (None, "een woord"), (103, some[1])]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(asked, "doc_id bigint, text string"), model).collect()}
+    for i, t in asked:
+        if not t:
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True)
+            continue
+        counts = plain_trigrams(t)
+        cosines = model.centroids @ vector(counts)
+        size = min(31, sum(counts.values()).bit_length())
+        assert got[i].lang_pred == model.languages[model.owner[cosines.argmax()]] and math.isclose(got[i].score, cosines.max(), abs_tol=1e-5)
+        assert got[i].rejected == (1 - cosines.max() > model.mean[size] + langid.REJECT_DEVIATIONS * model.deviation[size])
+    assert got[100].lang_pred == "nl"
+    assert langid.identify(spark.createDataFrame([], "doc_id bigint, text string"), model).collect() == []
+
+
 def shingles(text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
     return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
@@ -270,6 +317,15 @@ def test_shards(spark):
     assert sorted(r.slot for r in few) == [0, 0, 0]
 
 
+def test_texts_with_a_common_start_fill_all_cells(spark):
+    rows = [(i, f"https://www.example.org/site{i % 200:05d}") for i in range(2000)] + [(5000 + i, "https://www.example.org/site00007") for i in range(900)] + [(9000, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string").repartition(3)
+    edges = hilbert.text_edges(docs, "source", 32, lambda x: x)
+    assert len(edges) >= 20 and edges == sorted(set(edges))
+    cells = {r.hilbert for r in hilbert.with_hilbert(docs, ["source"], 5).collect()}
+    assert len(cells) >= 20 and hilbert.text_edges(docs.limit(0), "source", 32, lambda x: x) == []
+
+
 def test_mixing_equals_plain_fitting(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices([f"{k}word{j}" for k in "ab"[i % 2] for j in range(30)], k=rng.randint(1, 40))), rng.choice(["en", "de", None]), rng.choice(["a"] * 6 + ["b", "c"])) for i in range(600)]
