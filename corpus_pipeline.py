@@ -1,12 +1,12 @@
 """A training-data pipeline over ``documents``: each stage's result is written and is the next stage's input.
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last
-return the columns of ``docs``.
+return the columns of ``docs``. Null texts are empty texts, null ids are ids like others; repeated rows are told apart from copies
+by nothing, so near_dedup leaves one of them; empty tables give empty tables; other columns are carried along unseen.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,23 +15,25 @@ from loomlake.llm.common import doc_crc, read, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification rejects go: no letter, or too far from every centroid. Learns from two thirds of the labelled rows."""
+    """Documents that language identification rejects go: null, empty or without a letter, or too far from every centroid for their length. Learns from two thirds of the labelled rows; without any, all go."""
     model = langid.fit(docs.where(F.pmod(doc_crc(F.col("doc_id")), F.lit(3)) != 1), key=F.xxhash64("doc_id"))
     return langid.accepted(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies stays: five-word shingles, similarity 0.8."""
+    """One document of each group of copies and near copies stays, that of the least id (null ids last): five-word shingles, similarity 0.8. Texts without words are one group."""
     return simhash.one_of_each(docs)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by probabilities raked to tempered source, language and topic weights."""
+    """Documents are drawn by expected copies raked to tempered source, language and topic weights: some not at all, some more than once. Repeated rows are drawn alike."""
     return mixing.mix(docs).select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again to see that nothing is lost. The text goes; columns named n_tokens, ids or same are replaced."""
+    import public_tokenizers
+
     kept = [c for c in docs.columns if c not in ("text", "n_tokens", "ids", "same")]
     return bpe.checked_ids(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, kept)
 
