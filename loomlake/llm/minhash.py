@@ -28,7 +28,7 @@ SHIFT = 63 - BIN_BITS
 #: Draws of a donor before the exact choice among all full bins is made, which has the same distribution.
 DRAWS = 8
 #: Rows of a range of ids, about; cuts that are sampled; ranges at most.
-RANGE_ROWS, CUTS, MAX_RANGES = 1_000, 256, 1 << 20
+RANGE_ROWS, CUTS, MAX_RANGES = 1_000, 1_024, 1 << 20
 
 
 def _draw(of: int, attempt: int) -> int:
@@ -103,16 +103,17 @@ def with_fingerprint(docs: DataFrame, text_column: str = "text", name: str = "fi
 
 
 def _ranges(id_column: str, cuts: list[int], parts: int) -> Column:
-    """Range of an id, 0 for the largest: between sampled cuts, each cut again into ``parts`` of equal width. Null: the last."""
-    if not cuts:
-        return F.lit(0).cast("long")
+    """Range of an id, 0 for the largest: between sampled cuts, each cut again into ``parts`` of equal width. Null: ``parts`` more behind the last, by the hash ``_hash``."""
     key, n = F.col(id_column).cast("long"), len(cuts)
+    nulls = F.lit((n + 1) * parts).cast("long") + F.pmod("_hash", F.lit(parts))
+    if not cuts:
+        return F.when(key.isNull(), nulls).otherwise(F.lit(0).cast("long"))
     edges = F.array(*[F.lit(x).cast("long") for x in cuts])
     above = F.size(F.filter(edges, lambda x: x > key))  # cuts above the id: 0 for the largest
     low, high = F.get(edges, F.lit(n - 1) - above), F.get(edges, F.lit(n) - above)
     width = high.cast("double") - low.cast("double")
     inner = F.when((above > 0) & (above < n), F.least(F.floor((high.cast("double") - key.cast("double")) / width * parts), F.lit(parts - 1))).otherwise(F.lit(0))
-    return F.when(key.isNull(), F.lit((n + 1) * parts).cast("long")).otherwise(above.cast("long") * parts + F.greatest(inner, F.lit(0)))
+    return F.when(key.isNull(), nulls).otherwise(above.cast("long") * parts + F.greatest(inner, F.lit(0)))
 
 
 def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") -> DataFrame:
@@ -120,22 +121,24 @@ def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") ->
 
     Ids (whole numbers) are cut into ranges at sampled quantiles; rows move once, to their range, and the first row
     of each range is also sent to the range before it, so that a window inside a range sees every row's
-    successor. Rows of one id are ordered by ``columns``; null ids come last, in a range of their own. The
-    firsts are broadcast: a row for each range, and ranges are at most MAX_RANGES.
+    successor. Rows of one id are ordered by a hash of ``columns``, then by them; null ids come last, in ranges by that hash. All
+    rows of one id share a range. The firsts are broadcast: a row for each range, and ranges are at most 2 * MAX_RANGES.
     """
-    ids = docs.select(id_column)
-    rows = ids.count()
+    rows = docs.count()
     n = min(CUTS, max(1, rows // RANGE_ROWS))
     parts = min(MAX_RANGES // CUTS, max(1, rows // (n * RANGE_ROWS)))
-    cuts = ids.where(F.col(id_column).isNotNull()).approxQuantile(id_column, [i / n for i in range(n + 1)], 0.1 / n) if n > 1 else []
-    ranged = docs.select(id_column, *columns).withColumn("_range", _ranges(id_column, sorted({int(x) for x in cuts}), parts))
-    firsts = ids.withColumn("_range", _ranges(id_column, sorted({int(x) for x in cuts}), parts)).groupBy("_range").agg(F.max(id_column).alias("_first"))
+    cuts = docs.select(id_column).where(F.col(id_column).isNotNull()).approxQuantile(id_column, [i / n for i in range(n + 1)], 0.1 / n) if n > 1 else []
+    own = docs.select(id_column, *columns).withColumns({"_hash": F.xxhash64(*columns), "_down": F.bitwise_not(F.col(id_column).cast("long"))})
+    ranged = own.withColumn("_range", _ranges(id_column, sorted({min(int(x), (1 << 63) - 1) for x in cuts}), parts))
+    firsts = ranged.groupBy("_range").agg(F.min(F.struct("_down", "_hash")).alias("_first"))
     order = Window.orderBy("_range")  # over one row a range
-    firsts = firsts.select("_first", F.coalesce(F.lag("_range").over(order), F.max("_range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_before"))
-    both = ranged.join(F.broadcast(firsts), F.col(id_column).eqNullSafe(F.col("_first")), "left")
+    before = F.coalesce(F.lag("_range").over(order), F.max("_range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    firsts = firsts.select(F.col("_range").alias("_of"), F.col("_first._down").alias("_d"), F.col("_first._hash").alias("_h"), before.alias("_before"))
+    same = (F.col("_range") == F.col("_of")) & F.col("_down").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h"))
+    both = ranged.join(F.broadcast(firsts), same, "left")
     places = F.array_compact(F.array(F.struct(F.col("_range").alias("at"), F.lit(0).alias("guest")), F.when(F.col("_before").isNotNull(), F.struct(F.col("_before").alias("at"), F.lit(1).alias("guest")))))
-    moved = both.select(id_column, *columns, F.explode(places).alias("_place")).select(id_column, *columns, "_place.at", "_place.guest")
-    inside = Window.partitionBy("at").orderBy("guest", F.col(id_column).desc_nulls_last(), *columns)
+    moved = both.select(id_column, *columns, "_down", "_hash", F.explode(places).alias("_place")).select(id_column, *columns, "_down", "_hash", "_place.at", "_place.guest")
+    inside = Window.partitionBy("at").orderBy("guest", F.col("_down").asc_nulls_last(), "_hash", *columns)
     return moved.select(id_column, *columns, "guest", *[F.lead(c).over(inside).alias(f"next_{c}") for c in columns]).where("guest = 0").drop("guest")
 
 

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+from pyspark.sql import DataFrame, SparkSession
+
 from loomlake.llm import ann, bpe, hilbert, langid, language_model, minhash, mixing, simhash, token_counts, url_filter
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_langid": langid.op2_langid,
@@ -16,7 +24,7 @@ QUERIES = {
     "op8_ann": ann.op8_ann,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_url_filter": url_filter.op10_url_filter,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline,
 }
 ORACLE_SQL = {
     "op8_ann": ann.ORACLE,

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from loomlake.llm import bpe, hilbert, langid, language_model, minhash, mixing, token_counts
@@ -204,11 +206,45 @@ def test_minhash_edits_and_estimates(spark):
 
 def test_next_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(minhash, "RANGE_ROWS", 3)
-    ids = [*range(0, 60, 2), 10**12, -5, None]
-    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id bigint, text string")
-    order = sorted([i for i in ids if i is not None], reverse=True) + [None]
-    got = {r.doc_id: r.next_text for r in minhash.with_next(df, ["text"]).collect()}
-    assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+    ids = [*range(0, 60, 2), 10**12, -5, -(1 << 63), (1 << 63) - 1, None, None, None]
+    df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id bigint, text string")
+    order = sorted([i for i in ids if i is not None], reverse=True)
+    got = [(r.doc_id, r.text, r.next_text) for r in minhash.with_next(df, ["text"]).collect()]
+    assert sorted(t for _, t, _ in got) == sorted(f"t{k}" for k in range(len(ids)))
+    after, of = {t: n for _, t, n in got}, {f"t{k}": i for k, i in enumerate(ids)}
+    walk = [f"t{ids.index(order[0])}"]
+    while len(walk) < len(ids):
+        walk.append(after[walk[-1]])
+    assert [of[t] for t in walk] == [*order, None, None, None] and after[walk[-1]] == walk[0]
+
+
+def plain_fingerprint(text):
+    """Bins, donors and packed bits in plain Python."""
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+    hashed = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in words]
+    bins = {}
+    for i in range(max(1, len(words) - 4)):
+        h = 42
+        for x in hashed[i : i + 5]:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+        h = h >> 1 & ~1
+        bins[h >> minhash.SHIFT] = min(h, bins.get(h >> minhash.SHIFT, h))
+    out = []
+    for i in range(minhash.BINS):
+        donors = [i, *(minhash._draw(i, a) for a in range(minhash.DRAWS))]
+        found = next((bins[d] for d in donors if d in bins), None)
+        if found is None:
+            found = min((signed(xxhash.xxh64_intdigest(struct.pack("<i", i), xxhash.xxh64_intdigest(struct.pack("<q", b), 42))), x) for b, x in bins.items())[1]
+        out.append(f"{found >> 1 & 255:02x}")
+    return "".join(out)
+
+
+def test_fingerprints_equal_plain_ones(spark):
+    some = [*texts(25), None, "", "one", "one two three four five six", "a " * 50, " ".join(f"w{i}" for i in range(3000))]
+    rows = minhash.with_fingerprint(spark.createDataFrame([(i, t, "x") for i, t in enumerate(some)], "doc_id bigint, text string, fingerprint string")).collect()
+    assert {r.doc_id: r.fingerprint for r in rows} == {i: plain_fingerprint(t) for i, t in enumerate(some)}
 
 
 def test_language_model_base_and_gain(spark):
