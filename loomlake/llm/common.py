@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder (local tests).
-LOCAL_CHECKPOINTS = "file:/tmp/checkpoints"
+from loomlake.staging import shared_folder
+
 #: Spark's setting that deletes the shuffle files of an execution at its end.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's setting for the bytes of an Arrow batch, its default, and what the operators need: a batch of texts is held several times over in both processes.
@@ -20,23 +20,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``; a machine's own folder only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return (named or LOCAL_CHECKPOINTS).rstrip("/")
-
-
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage like ``checkpoint()``, but computes the plan once instead of twice, keeps
     column pruning, and survives the loss of executors because the files are in shared storage. The shuffle files of the
-    write are of no more use then, and Spark deletes them; the session's own setting for that is put back.
+    write are of no more use then, and Spark deletes them; the session's own setting for that is put back. The tables themselves
+    stay, as results are lazy, until ``loomlake.staging.drop_staged``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")
     try:
