@@ -169,15 +169,8 @@ def _stars(values: np.ndarray, links, label: np.ndarray | None = None) -> tuple[
 
 
 def _subtree_bits(bits: DataFrame) -> int:
-    """Bits of the prefix: enough for subtrees of SUBTREE on average and SUBTREE_MOST at most."""
-    n = bits.count()
-    depth = max(0, math.ceil(math.log2(max(1, n) / SUBTREE)))
-    while depth < 40:
-        most = bits.groupBy(_prefix(depth)).count().agg(F.max("count")).first()[0] or 0
-        if most <= SUBTREE_MOST:
-            break
-        depth += 4
-    return depth
+    """Bits of the prefix: enough for subtrees of SUBTREE on average."""
+    return max(0, math.ceil(math.log2(max(1, bits.count()) / SUBTREE)))
 
 
 def _prefix(depth: int):
@@ -185,30 +178,38 @@ def _prefix(depth: int):
 
 
 def near_links(bits: DataFrame, budget: int = MAX_BITS) -> DataFrame:
-    """(a, b): a forest that joins distinct fingerprints ``bits`` differing in at most ``budget`` bits, b < a in each star of a task.
+    """(a, b): a forest that joins distinct fingerprints ``bits`` differing in at most ``budget`` bits.
 
-    ``bits`` must be distinct. Each subtree goes to the tasks of all prefixes within the budget, also its own.
+    ``bits`` must be distinct. Each subtree goes to the tasks of all prefixes within the budget, also its own. A subtree of over
+    SUBTREE_MOST leaves is dealt to blocks, and each pair of blocks of two prefixes (or of one) is a task: others are not made longer by it.
     """
     depth = _subtree_bits(bits)
     masks = [sum(1 << x for x in c) for r in range(min(budget, depth) + 1) for c in combinations(range(depth), r)]
-    trees = bits.groupBy(_prefix(depth).alias("prefix")).agg(F.sort_array(F.collect_list("bits")).alias("leaves"))
-    sides = trees.select("prefix", "leaves", F.explode(F.array(*[F.lit(x).cast("long") for x in masks])).alias("mask")).withColumn("other", F.col("prefix").bitwiseXOR(F.col("mask")))
-    sides = sides.select(F.least("prefix", "other").alias("low"), F.greatest("prefix", "other").alias("high"), "prefix", "leaves")
+    leaves = bits.select("bits", _prefix(depth).alias("prefix"))
+    large = leaves.groupBy("prefix").count().where(F.col("count") > SUBTREE_MOST)
+    large = staged(large.select("prefix", F.ceil(F.col("count") / SUBTREE_MOST).cast("int").alias("blocks")), "simhash-large")  # a row for SUBTREE_MOST leaves at most
+    leaves = leaves.join(large, "prefix", "left").withColumn("block", F.pmod(F.xxhash64("bits"), F.coalesce("blocks", F.lit(1))).cast("int"))
+    trees = leaves.groupBy("prefix", "block").agg(F.sort_array(F.collect_list("bits")).alias("leaves"))
+    sides = trees.select("prefix", "block", "leaves", F.explode(F.array(*[F.lit(x).cast("long") for x in masks])).alias("mask")).withColumn("other", F.col("prefix").bitwiseXOR(F.col("mask")))
+    sides = sides.join(large.select(F.col("prefix").alias("other"), "blocks"), "other", "left").withColumn("meets", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    # the two blocks of a task, that of the lower prefix first; of one prefix the lower block first
+    first = F.when(F.col("prefix") == F.col("other"), F.col("block") <= F.col("meets")).otherwise(F.col("prefix") < F.col("other"))
+    sides = sides.select(F.least("prefix", "other").alias("low"), F.greatest("prefix", "other").alias("high"), F.when(first, F.col("block")).otherwise(F.col("meets")).alias("one"), F.when(first, F.col("meets")).otherwise(F.col("block")).alias("two"), "prefix", "block", "leaves")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        trees = {int(p): np.sort(np.asarray(x, np.int64).view(np.uint64)) for p, x in zip(pdf["prefix"], pdf["leaves"], strict=True)}
-        low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
-        if low not in trees or high not in trees:
+        trees = {(int(p), int(b)): np.sort(np.asarray(x, np.int64).view(np.uint64)) for p, b, x in zip(pdf["prefix"], pdf["block"], pdf["leaves"], strict=True)}
+        low, high, one, two = (int(pdf[c].iloc[0]) for c in ("low", "high", "one", "two"))
+        if (low, one) not in trees or (high, two) not in trees:
             return pd.DataFrame({"a": np.array([], np.int64), "b": np.array([], np.int64)})
-        a, b = trees[low], trees[high]
-        links = _linked(a, b, low == high, depth, (low ^ high).bit_count(), budget)
-        if low != high:
+        a, b = trees[low, one], trees[high, two]
+        same = (low, one) == (high, two)
+        links = _linked(a, b, same, depth, (low ^ high).bit_count(), budget)
+        if not same:
             links = ((i, j + len(a)) for i, j in links)
-        # low's values come first: they are smaller
-        member, root = _stars(a if low == high else np.concatenate((a, b)), links)
+        member, root = _stars(a if same else np.concatenate((a, b)), links)
         return pd.DataFrame({"a": member.view(np.int64), "b": root.view(np.int64)})
 
-    return sides.groupBy("low", "high").applyInPandas(walk, "a bigint, b bigint")
+    return sides.groupBy("low", "high", "one", "two").applyInPandas(walk, "a bigint, b bigint")
 
 
 def components(links: DataFrame, label: str = "links") -> DataFrame:

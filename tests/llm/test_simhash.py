@@ -67,8 +67,10 @@ def test_components_match_brute_force(spark, monkeypatch):
     assert got == sorted(((i, f"{plain(t):016x}", least[root[plain(t)]]) for i, t in rows), key=str)
 
 
-def test_links_across_subtrees(spark, monkeypatch):
+@pytest.mark.parametrize("most", [1 << 17, 9])
+def test_links_across_subtrees(spark, monkeypatch, most):
     monkeypatch.setattr(simhash, "SUBTREE", 16)
+    monkeypatch.setattr(simhash, "SUBTREE_MOST", most)
     rng = np.random.default_rng(5)
     values = {int(x) for x in rng.integers(0, 1 << 63, 150, dtype=np.uint64)}
     values |= {x ^ (1 << int(b)) for x in list(values)[:100] for b in (63, 62, 61, 60, 3)}
