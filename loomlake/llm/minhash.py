@@ -116,19 +116,19 @@ def _ranges(id_column: str, cuts: list[int], parts: int) -> Column:
     return F.when(key.isNull(), nulls).otherwise(above.cast("long") * parts + F.greatest(inner, F.lit(0)))
 
 
-def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id") -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], id_column: str = "doc_id", by: str | None = None) -> DataFrame:
     """(id, columns, next_* of columns): each row beside the next row by descending id; after the last comes the first.
 
     Ids (whole numbers) are cut into ranges at sampled quantiles; rows move once, to their range, and the first row
     of each range is also sent to the range before it, so that a window inside a range sees every row's
-    successor. Rows of one id are ordered by a hash of ``columns``, then by them; null ids come last, in ranges by that hash. All
-    rows of one id share a range. The firsts are broadcast: a row for each range, and ranges are at most 2 * MAX_RANGES.
+    successor. Rows of one id are ordered by a hash of the column ``by`` (None: of all ``columns``), then by ``columns``; null ids come last, in ranges by
+    that hash. All rows of one id share a range. The firsts are broadcast: a row for each range, and ranges are at most 2 * MAX_RANGES.
     """
     rows = docs.count()
     n = min(CUTS, max(1, rows // RANGE_ROWS))
     parts = min(MAX_RANGES // CUTS, max(1, rows // (n * RANGE_ROWS)))
     cuts = docs.select(id_column).where(F.col(id_column).isNotNull()).approxQuantile(id_column, [i / n for i in range(n + 1)], 0.1 / n) if n > 1 else []
-    own = docs.select(id_column, *columns).withColumns({"_hash": F.xxhash64(*columns), "_down": F.bitwise_not(F.col(id_column).cast("long"))})
+    own = docs.select(id_column, *columns).withColumns({"_hash": F.xxhash64(*([by] if by else columns)), "_down": F.bitwise_not(F.col(id_column).cast("long"))})
     ranged = own.withColumn("_range", _ranges(id_column, sorted({min(int(x), (1 << 63) - 1) for x in cuts}), parts))
     firsts = ranged.groupBy("_range").agg(F.min(F.struct("_down", "_hash")).alias("_first"))
     order = Window.orderBy("_range")  # over one row a range
@@ -150,7 +150,8 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str
     a row; a lone row is its own next. Equal texts have equal fingerprints, and those a likeness of 1.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    pairs = with_next(with_fingerprint(texts), ["text", "fingerprint"])
+    # by the text alone, so that the ranges are found without fingerprints
+    pairs = with_next(with_fingerprint(texts), ["text", "fingerprint"], by="text")
     chars = F.length("text")
     half = F.floor(chars / 2).cast("int")
     edited = pairs.select("doc_id", chars.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", F.concat(F.substring("text", F.lit(1), chars - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
