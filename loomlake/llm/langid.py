@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomlake.llm.common import batched, doc_crc, read
+from loomlake.llm.common import batched, doc_crc, read, staged
 
 #: Buckets of hashed trigrams, centroids a language and of all languages about, labelled rows sampled for k-means: of all languages together, and of one at least.
 BUCKETS, CENTROIDS, ALL_CENTROIDS, SAMPLE_ROWS, LEAST_ROWS = 8192, 4, 2_000, 2_000, 8
@@ -115,14 +115,17 @@ def fit(labelled: DataFrame, text_column: str = "text", label_column: str = "lan
     for r in found:
         df[r["bucket"]] = r["n"]
     weights = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    hashed = rows.select("lang", F.xxhash64("key").alias("h"), "text")
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    hashed = rows.select("lang", F.shiftrightunsigned(F.xxhash64("key"), 1).alias("h"), "text")
+    lettered = F.col("text").rlike(r"\p{L}")
+    distinct = staged(hashed.where(lettered).select("lang", "h").distinct(), "langid-draw")
+    sizes = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
     if not languages or not df[-1]:
         return Model([], weights, np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(32), np.ones(32))
     own = max(LEAST_ROWS, SAMPLE_ROWS // len(languages))
-    lettered = F.col("text").rlike(r"\p{L}")
-    # Spark keeps the first rows of each language before the shuffle
-    drawn = hashed.where(lettered).select("lang", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= own)
+    # eight times as many as needed by their hash, so that no task sorts more of a language; then the least of them
+    few = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min((1 << 63) - 1, (1 << 63) * 8 * own // sizes[lang])))])[F.col("lang")]
+    drawn = distinct.where(F.col("h") <= few).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= own)
     last = {r["lang"]: r["h"] for r in drawn.groupBy("lang").agg(F.max("h").alias("h")).collect()}
     until = F.create_map(*[x for lang in last for x in (F.lit(lang), F.lit(last[lang]))])[F.col("lang")] if last else F.lit(None).cast("bigint")
     sampled = hashed.where(lettered & (F.col("h") <= until)).dropDuplicates(["lang", "h"])
